@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming job (no watermark, window, state or late-data
+handling), so this package holds nothing yet.  Every operator in ``quarry`` is a
+plain DataFrame function and can be applied to a streaming DataFrame inside
+``foreachBatch`` where its semantics allow.
+"""
