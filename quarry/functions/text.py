@@ -43,9 +43,11 @@ STEM_LONG_MIN = 6
 def normalize(col: Column) -> Column:
     """lower-case; every char outside [a-z0-9.] and every dot with no digit on
     either side becomes a space; runs of spaces collapse to one."""
-    lowered = F.lower(col)
-    blanked = F.regexp_replace(lowered, r"[^a-z0-9.]|(?<![0-9])\.(?![0-9])", " ")
-    return F.regexp_replace(blanked, " +", " ")
+    # Runs of other characters collapse in one step; whether a dot touches a
+    # digit is unchanged by that (digits stay, everything else is a space).
+    blanked = F.regexp_replace(F.lower(col), "[^a-z0-9.]+", " ")
+    blanked = F.regexp_replace(blanked, r"(?<![0-9])\.(?![0-9])", " ")
+    return F.regexp_replace(blanked, " {2,}", " ")
 
 
 def tokens(col: Column) -> Column:
@@ -57,7 +59,8 @@ def remove_stopwords(arr: Column, stop_words=STOP_WORDS_EN) -> Column:
     return F.filter(arr, lambda t: ~t.isin(list(stop_words)))
 
 
-def stem(token: Column) -> Column:
+def stem_regex(token: Column) -> Column:
+    """STEM_RULES applied literally, one regexp_replace per rule."""
     out = token
     for pattern, repl in STEM_RULES:
         out = F.regexp_replace(out, pattern, repl)
@@ -65,6 +68,22 @@ def stem(token: Column) -> Column:
     return F.when(F.length(out) >= STEM_LONG_MIN, F.regexp_replace(out, long_pattern, long_repl)).otherwise(out)
 
 
+def stem(token: Column) -> Column:
+    """Same result as ``stem_regex`` with suffix tests instead of regexes: at most
+    one of the three plural rules can fire, and only tokens ending in -ing/-ed
+    reach the vowel test of the long rule."""
+    n = F.length(token)
+    out = (
+        F.when(token.endswith("sses") | token.endswith("ies"), F.left(token, n - 2))
+        .when(token.endswith("s") & ~token.endswith("ss") & (n >= 2), F.left(token, n - 1))
+        .otherwise(token)
+    )
+    m = F.length(out)
+    cut = F.when(out.endswith("ing"), F.lit(3)).when(out.endswith("ed"), F.lit(2)).otherwise(F.lit(0))
+    head = F.left(out, m - cut)
+    return F.when((m >= STEM_LONG_MIN) & (cut > 0) & head.rlike("[aeiouy]"), head).otherwise(out)
+
+
 def preprocess(col: Column, stop_words=STOP_WORDS_EN, stemming: bool = True) -> Column:
     """normalise → tokenise → drop stop words → stem; returns array<string>."""
     arr = remove_stopwords(tokens(normalize(col)), stop_words)

@@ -143,9 +143,9 @@ def tfidf_codebook_window(spark, sf):
 )
 def tfidf_query_vector(spark, sf):
     t = Tables(spark, sf)
-    book = tfidf.codebook(t.documents)
+    cb = tfidf.build_codebook(t.documents)
     q_tf = tfidf.query_terms(t.benchmark, id_col="item_id")
-    qv = tfidf.query_vector(q_tf, book, small=True)
+    qv = tfidf.query_vector(q_tf, cb, small=tfidf.is_bounded(q_tf, tfidf.MAX_QUERY_TERMS))
     return qv.select("query_id", "word", "q_tf", _r(F.col("idf")).alias("idf"), _r(F.col("q_weight")).alias("q_weight"), _r(F.col("q_norm")).alias("q_norm"))
 
 
@@ -158,7 +158,7 @@ def tfidf_candidates_semi(spark, sf):
     t = Tables(spark, sf)
     book = tfidf.codebook(t.documents)
     q_tf = tfidf.query_terms(t.benchmark, id_col="item_id")
-    return tfidf.candidates(book, q_tf).select("doc_id", "word", _r(F.col("tf_idf")).alias("tf_idf"))
+    return tfidf.candidates(book, q_tf, small=tfidf.is_bounded(q_tf, tfidf.MAX_QUERY_TERMS)).select("doc_id", "word", _r(F.col("tf_idf")).alias("tf_idf"))
 
 
 # ------------------------------------- search ---------------------------------------
@@ -166,7 +166,7 @@ def tfidf_candidates_semi(spark, sf):
 @register("tfidf_search_topk", f"WITH {CODEBOOK_CTE}, {QUERY_CTE} SELECT * FROM topk")
 def tfidf_search_topk(spark, sf):
     t = Tables(spark, sf)
-    return tfidf.search(tfidf.codebook(t.documents), t.benchmark, k=TOP_K, id_col="item_id")
+    return tfidf.search(tfidf.build_codebook(t.documents), t.benchmark, k=TOP_K, id_col="item_id")
 
 
 @register(
@@ -178,7 +178,7 @@ def tfidf_search_topk(spark, sf):
 def tfidf_search_enriched(spark, sf):
     """J7 + P17: top-k joined back to the document rows, reference column names."""
     t = Tables(spark, sf)
-    top = tfidf.search(tfidf.codebook(t.documents), t.benchmark, k=TOP_K, id_col="item_id")
+    top = tfidf.search(tfidf.build_codebook(t.documents), t.benchmark, k=TOP_K, id_col="item_id")
     # At most k rows per query; AQE turns this into a broadcast join when the
     # measured top-k side is small, and keeps the shuffle join otherwise.
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -64,6 +66,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read
+    it back.  Cuts lineage like ``checkpoint()`` but the copy is columnar, so
+    later readers get column pruning and filter pushdown; it survives the loss
+    of any executor."""
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/quarry-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -76,3 +89,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     bound the frame is returned unchanged and the join falls back to a shuffle.
     """
     return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Input-parallelism guard for CPU-heavy row operators (regex, shingling).
+
+    A scan yields one split per file chunk / row group.  When that gives fewer
+    splits than the cluster has cores, rows are dealt round-robin over
+    ``factor × cores`` partitions; at scale (many more splits than cores) the
+    frame is returned untouched and no shuffle is added.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= factor * cores:
+        return df
+    return df.repartition(factor * cores)
