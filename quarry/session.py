@@ -66,13 +66,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder name under the shared checkpoint folder."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/quarry-tables/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table under the shared checkpoint folder and read
     it back.  Cuts lineage like ``checkpoint()`` but the copy is columnar, so
     later readers get column pruning and filter pushdown; it survives the loss
     of any executor."""
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/quarry-tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
 
