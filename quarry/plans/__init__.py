@@ -30,4 +30,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     # Importing the modules fills REGISTRY / ORACLES.
-    from quarry.plans import graph, ml, neardup, pages, search, tables  # noqa: F401
+    from quarry.plans import graph, graphlearn, ml, neardup, pages, search, tables  # noqa: F401
