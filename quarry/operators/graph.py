@@ -171,7 +171,7 @@ def two_cycle_tests(shapes: DataFrame, n_nodes_total) -> DataFrame:
     )
     two = (F.col("k") == 2) & (F.col("all_cycles") == 1)
     return agg.select(
-        (two & (F.col("mn") == F.col("mx")) & (F.col("mn") == F.floor(n_nodes_total / 2))).alias("two_equal_cycles"),
+        (two & (F.col("mn") == F.col("mx")) & (F.col("mn") == F.floor(F.lit(n_nodes_total) / 2))).alias("two_equal_cycles"),
         two.alias("two_cycles"),
-        (two & (F.col("covered") == n_nodes_total)).alias("two_cycles_cover_all"),
+        (two & (F.col("covered") == F.lit(n_nodes_total))).alias("two_cycles_cover_all"),
     )
