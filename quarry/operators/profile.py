@@ -116,7 +116,7 @@ def category_extremes(df: DataFrame, cat: str, target: str, n: int = 5) -> DataF
         # orderBy + limit is a distributed top-k (TakeOrdered); the numbering
         # window then sees at most n rows.
         k = means.orderBy(order, F.col(cat)).limit(n)
-        return k.withColumn("rn", F.row_number().over(Window.orderBy(order, F.col(cat)))).withColumn("side", F.lit(name))
+        return k.withColumn("rn", F.row_number().over(Window.orderBy(order, F.col(cat))).cast("long")).withColumn("side", F.lit(name))
 
     return side(F.col("mean_target").desc(), "top").unionByName(side(F.col("mean_target").asc(), "bottom"))
 

@@ -45,8 +45,8 @@ def clock_events(t: Tables) -> DataFrame:
 CLOCK_SQL = f"""
 clock AS (
   SELECT event_id, user_id,
-         hour(prev_ts) * 100 + minute(prev_ts) AS t1,
-         hour(ts) * 100 + minute(ts) AS t2,
+         CAST(hour(prev_ts) * 100 + minute(prev_ts) AS INTEGER) AS t1,
+         CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS t2,
          CAST((epoch(date_trunc('minute', ts)) - epoch(date_trunc('minute', prev_ts))) / 60 AS INTEGER)
            + CASE WHEN event_id % {CLOCK_INJECT_MOD} = 0 THEN {CLOCK_INJECT_MINUTES} ELSE 0 END AS diff
   FROM (SELECT event_id, user_id, ts,

@@ -62,7 +62,7 @@ def clock_diff_consistent(spark, sf):
 @register(
     "clock_diff_anomalies",
     f"WITH {fx.CLOCK_SQL}, {_CLOCK_MIN_SQL} SELECT event_id, user_id, t1, t2, diff, "
-    f"{_CLOCK_ERR_SQL} AS gap_error FROM clockm WHERE abs({_CLOCK_ERR_SQL}) > 0",
+    f"CAST({_CLOCK_ERR_SQL} AS INTEGER) AS gap_error FROM clockm WHERE abs({_CLOCK_ERR_SQL}) > 0",
 )
 def clock_diff_anomalies(spark, sf):
     return quality.clock_anomalies(fx.clock_events(Tables(spark, sf)), "t1", "t2", "diff")
