@@ -103,16 +103,23 @@ def bowties(edges: DataFrame, tri: DataFrame | None = None) -> DataFrame:
 def cycles4(edges: DataFrame) -> DataFrame:
     """4-cycles as sorted node sets (n1, n2, n3, n4), each once.
 
-    A 4-cycle a–b–c–d–a is found from its smallest node a as two 2-paths
-    a–b–c and a–d–c with b < d, both middle nodes and c larger than a."""
-    e = both_directions(edges)
-    first = e.select(F.col("src").alias("a"), F.col("dst").alias("m")).where(F.col("m") > F.col("a"))
-    second = e.select(F.col("src").alias("m"), F.col("dst").alias("c"))
-    paths = first.join(second, "m").where((F.col("c") > F.col("a")))
-    p1 = paths.select("a", "c", F.col("m").alias("b"))
-    p2 = paths.select("a", "c", F.col("m").alias("d"))
-    cyc = p1.join(p2, ["a", "c"]).where(F.col("b") < F.col("d"))
-    s = F.array_sort(F.array("a", "b", "c", "d"))
+    Ranks are (degree, node).  A 4-cycle u–v–w–x is found from its
+    highest-ranked node u: wedges u–v–w with v and w ranked below u are
+    grouped on (u, w), and two different middles v < x close a cycle.  A hub
+    is the middle of a wedge only for the few nodes ranked above it, so the
+    wedges number O(m · arboricity) rather than Σ degree²."""
+    deg = degrees(edges)
+    rank = deg.select("node", F.struct("degree", "node").alias("rk"))
+    o = oriented(edges)  # lo ranked below hi
+    up = o.select(F.col("lo").alias("v"), F.col("hi").alias("u"))
+    up = up.join(rank.select(F.col("node").alias("u"), F.col("rk").alias("ru")), "u")
+    nb = both_directions(edges).select(F.col("src").alias("v"), F.col("dst").alias("w"))
+    wedges = up.join(nb, "v").where(F.col("w") != F.col("u"))
+    wedges = wedges.join(rank.select(F.col("node").alias("w"), F.col("rk").alias("rw")), "w").where(F.col("rw") < F.col("ru"))
+    p1 = wedges.select("u", "w", F.col("v").alias("b"))
+    p2 = wedges.select("u", "w", F.col("v").alias("d"))
+    cyc = p1.join(p2, ["u", "w"]).where(F.col("b") < F.col("d"))
+    s = F.array_sort(F.array("u", "b", "w", "d"))
     return cyc.select(s[0].alias("n1"), s[1].alias("n2"), s[2].alias("n3"), s[3].alias("n4")).distinct()
 
 

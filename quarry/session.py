@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Defaults for a local session.  On a cluster the submitter's configuration wins:
 # ``build_session`` only fills in keys that are not already set.
@@ -60,12 +59,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -87,15 +80,6 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` on the small side; beyond the
-    bound the frame is returned unchanged and the join falls back to a shuffle.
-    """
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Input-parallelism guard for CPU-heavy row operators (regex, shingling).
 
