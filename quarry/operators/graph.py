@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import materialize
+from quarry.session import materialize, release
 
 
 def canonical_edges(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -123,27 +123,40 @@ def cycles4(edges: DataFrame) -> DataFrame:
     return cyc.select(s[0].alias("n1"), s[1].alias("n2"), s[2].alias("n3"), s[3].alias("n4")).distinct()
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) with component = smallest node id of the component.
 
-    Min-label propagation with pointer jumping: each round a node takes the
-    smallest label among itself and its neighbours, then the label of its
-    label.  Labels are written as parquet under the checkpoint folder each
-    round (lineage stays one round long, and a lost executor costs one round);
-    the loop stops when no label changes."""
-    e = both_directions(edges).select("src", "dst")
+    Hook and contract: each round every node points at the smallest node among
+    itself and its neighbours, pointers are followed twice, and the edges are
+    rewritten between pointer targets, dropping loops and repeats, so the graph
+    shrinks each round (a star collapses in one).  The loop runs until no edge
+    is left.  Pointers, labels and edges are parquet tables under the
+    checkpoint folder: a round never recomputes an earlier one, and a lost
+    executor costs part of one round.  Rounds that are no longer read are deleted."""
     labels = materialize(nodes.select("node", F.col("node").alias("label")).distinct(), "cc-labels")
-    for _ in range(max_rounds):
-        nb = e.join(labels.select(F.col("node").alias("src"), "label"), "src").groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl"))
-        step = labels.join(nb, "node", "left").select("node", F.least("label", F.coalesce("nl", "label")).alias("label"))
-        jump = step.join(step.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left").select(
-            "node", F.least("label", F.coalesce("l2", "label")).alias("label")
+    ends = edges.where(F.col("src") != F.col("dst")).select(F.least("src", "dst").alias("lo"), F.greatest("src", "dst").alias("hi"))
+    live = materialize(ends.distinct(), "cc-edges")
+    while not live.isEmpty():
+        pairs = live.unionAll(live.select("hi", "lo")).toDF("node", "other")
+        hook = materialize(
+            pairs.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("to")), "cc-hook"
         )
-        new = materialize(jump, "cc-labels")
-        changed = new.join(labels.select("node", F.col("label").alias("old")), "node").where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            break
+        nxt = hook.toDF("to", "to2")
+        ptr = hook.join(nxt, "to").select("node", F.col("to2").alias("to"))
+        ptr = materialize(ptr.join(nxt, "to").select("node", F.col("to2").alias("to")), "cc-ptr")
+        lo, hi = ptr.toDF("lo", "a"), ptr.toDF("hi", "b")
+        new_live = materialize(
+            live.join(lo, "lo").join(hi, "hi").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+            .where(F.col("lo") != F.col("hi")).distinct(),
+            "cc-edges",
+        )
+        new_labels = materialize(
+            labels.join(ptr.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "cc-labels"
+        )
+        for old in (live, labels, hook, ptr):
+            release(old)
+        live, labels = new_live, new_labels
+    release(live)
     return labels.select("node", F.col("label").alias("component"))
 
 

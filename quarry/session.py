@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults for a local session.  On a cluster the submitter's configuration wins:
-# ``build_session`` only fills in keys that are not already set.
-LOCAL_DEFAULTS = {
-    "spark.sql.shuffle.partitions": "8",
+# Defaults for a session that nobody has configured.  ``build_session`` fills in
+# only keys that the submitter (spark-submit, SparkConf, builder) has left unset.
+# The shuffle partition count is not among them: AQE coalesces Spark's default on
+# small data, and on a cluster the submitter sizes it.
+DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -19,17 +24,21 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+LOCAL_DEFAULTS = {"spark.driver.memory": "16g"}
 
 
 def build_session(master: str | None = None, app: str = "quarry", **conf: str) -> SparkSession:
+    submitted = SparkConf()
+    merged = dict(DEFAULTS)
+    if is_local(master or submitted.get("spark.master", "")):
+        merged.update(LOCAL_DEFAULTS)
+    merged = {k: v for k, v in merged.items() if not submitted.contains(k)}
+    merged.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    merged = dict(LOCAL_DEFAULTS)
-    merged.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in merged.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -38,25 +47,29 @@ def build_session(master: str | None = None, app: str = "quarry", **conf: str) -
     return spark
 
 
+def is_local(master: str) -> bool:
+    """True for single-JVM masters (``local``, ``local[n]``), not for ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used.  Only a local-mode session without the
-    setting (tests, laptops) gets a fresh temporary folder; a cluster session
-    without it is an error, because a machine-local folder would not survive
-    the loss of an executor.
+    The cluster's setting is always used.  Only a single-JVM session without the
+    setting (tests, laptops) gets a fresh temporary folder, removed when the
+    process ends; a cluster session without it is an error, because a
+    machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        if not sc.master.startswith("local"):
+        if not is_local(sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured if spark.conf.get("spark.checkpoint.dir", None) else sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -65,6 +78,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quarry-tables/{name}-{uuid.uuid4().hex}"
 
 
+_SCRATCH: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table under the shared checkpoint folder and read
     it back.  Cuts lineage like ``checkpoint()`` but the copy is columnar, so
@@ -72,7 +88,54 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     of any executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _SCRATCH.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a ``materialize``d frame that nothing reads any more
+    (an earlier round of a loop, an index that has been replaced)."""
+    path = getattr(df, "_scratch_path", None)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+        delete_path(df.sparkSession, path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every scratch table written so far by this driver; call it once the
+    results that read them have been stored.  Returns how many were deleted."""
+    n = 0
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
+        n += 1
+    return n
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor
+    (``--py-files`` for a session that was started without it)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="quarry-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "quarry.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._quarry_shipped = True
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
