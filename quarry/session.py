@@ -79,6 +79,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SCRATCH: list[str] = []
+_TABLES: dict[str, str] = {}  # path → catalog name of the bucketed ones
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -94,6 +95,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``materialize`` as a table bucketed by ``key``: joins and aggregations on the key
+    read it without a shuffle of this side.  The files lie under the checkpoint folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"quarry_{name}_{uuid.uuid4().hex}".replace("-", "_")
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    _SCRATCH.append(path)
+    _TABLES[path] = table
+    out = spark.table(table)
+    out._scratch_path = path
+    return out
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    if path in _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop(path)}")
+    delete_path(spark, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
@@ -105,7 +126,7 @@ def release(df: DataFrame) -> None:
     path = getattr(df, "_scratch_path", None)
     if path in _SCRATCH:
         _SCRATCH.remove(path)
-        delete_path(df.sparkSession, path)
+        forget(df.sparkSession, path)
 
 
 def release_scratch(spark: SparkSession) -> int:
@@ -113,7 +134,7 @@ def release_scratch(spark: SparkSession) -> int:
     results that read them have been stored.  Returns how many were deleted."""
     n = 0
     while _SCRATCH:
-        delete_path(spark, _SCRATCH.pop())
+        forget(spark, _SCRATCH.pop())
         n += 1
     return n
 
