@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, line_dedup, mixing, simhash, toxicity
+from quarry.llm import decontaminate, line_dedup, mixing, simhash, substring_dedup, toxicity
 from quarry.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,26 @@ SELECT doc_id, source, b.stream, block, (block // weight) * {sum(weights.values(
 FROM b JOIN sched s ON s.stream = b.stream AND s.turn_block = block % weight"""
 
 
+SUBSTRING_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT r, doc_id, i, list_aggregate(w[i:i + {substring_dedup.WINDOW - 1}], 'string_agg', ' ') AS g
+      FROM (SELECT *, unnest(generate_series(1, len(w) - {substring_dedup.WINDOW - 1})) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS first_doc FROM g GROUP BY g),
+gone AS (SELECT r, count(DISTINCT p) AS n, list(DISTINCT p) AS ps
+         FROM (SELECT r, unnest(generate_series(i, i + {substring_dedup.WINDOW - 1})) AS p FROM g JOIN m USING (g)
+               WHERE first_doc < doc_id OR doc_id IS NULL AND first_doc IS NOT NULL) GROUP BY r),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS kept FROM words LEFT JOIN gone USING (r) WHERE ps IS NULL OR NOT list_contains(ps, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)"""
+
+
+@query("op1_substring_dedup", SUBSTRING_SQL)
+def op1_substring_dedup(spark, sf):
+    found = substring_dedup.substring_dedup(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_source_mixing", mixture_oracle(MIX_WEIGHTS, mixing.BLOCK_ROWS))
 def op2_source_mixing(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents"), MIX_WEIGHTS)
