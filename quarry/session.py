@@ -105,7 +105,7 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Da
     _SCRATCH.append(path)
     _TABLES[path] = table
     out = spark.table(table)
-    out._scratch_path = path
+    out._scratch_path, out._buckets = path, buckets
     return out
 
 
