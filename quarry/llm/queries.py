@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, line_dedup, mixing, simhash, substring_dedup, toxicity
+from quarry.llm import decontaminate, language_model, line_dedup, mixing, simhash, substring_dedup, toxicity, vptree
 from quarry.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,21 @@ def op2_source_mixing(spark, sf):
     return mixed.select("row.doc_id", "row.source", "stream", "block", "slot", "place")
 
 
+NEAREST_SQL = f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+             AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+q AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+d AS (SELECT q.vec_id AS query_id, v.vec_id, list_distance(q.e, v.e) AS score FROM q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= {vptree.K}"""
+
+
+@query("op3_vptree", NEAREST_SQL)
+def op3_vptree(spark, sf):
+    return vptree.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 DECONTAMINATION_SQL = f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
@@ -94,6 +109,13 @@ def op4_decontamination(spark, sf):
     )
 
 
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark, sf):
+    held_out = toxicity.held_out(F.col("doc_id"), 10)
+    scored = language_model.score(table(spark, sf, "documents"), F.crc32(F.col("doc_id").cast("string")) % 10 != 0)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op6_simhash")
 def op6_simhash(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
