@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_model, line_dedup, mixing, simhash, substring_dedup, toxicity, vptree
+from quarry.llm import decontaminate, language_model, line_dedup, mixing, pii, simhash, substring_dedup, toxicity, urls, vptree
 from quarry.sources.tables import table
 
+# Secret of the surrogates; a deployment passes its own to ``pii.replace_entities``.
+PII_KEY = "a key for tests only"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -122,6 +125,25 @@ def op6_simhash(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def rules_oracle(rules: list[tuple[str, str, str]]) -> str:
+    """Rules alone; right where no page has redirect or canonical links, as in the tables."""
+    values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
+    return f"""
+WITH rules(verdict, host, path) AS (VALUES {values}),
+p AS (SELECT row_number() OVER () AS r, page_id,
+             translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+m AS (SELECT p.r, rules.host || rules.path AS rule, verdict,
+             row_number() OVER (PARTITION BY r ORDER BY length(rules.host || rules.path) DESC, verdict) AS nth
+      FROM p JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host)) AND starts_with(p.path, rules.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m ON m.r = p.r AND nth = 1"""
+
+
+@query("op7_url_filter", rules_oracle(urls.RULES))
+def op7_url_filter(spark, sf):
+    return urls.judge(table(spark, sf, "pages"), urls.rule_table(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
 LINE_SQL = f"""
 WITH l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
            FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
@@ -140,6 +162,12 @@ def op8_line_dedup(spark, sf):
     return applied.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op9_pii_surrogates")
+def op9_pii_surrogates(spark, sf):
+    replaced = pii.replace_entities(table(spark, sf, "documents"), PII_KEY)
+    return replaced.select("row.doc_id", F.col("replaced").alias("text"), "n_replaced")
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
