@@ -103,7 +103,9 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     """(doc_id, rid, n_dropped, dropped) per document that loses lines; ``dropped`` are the
     sorted positions, ``keep_bits`` packs them."""
     occ = materialize(occurrences(docs, min_chars), "lines")
-    lost = occ.join(keepers(occ, min_docs), "hash").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # stored, so that the join is between two plain exchanges, whose hot partitions Spark splits
+    kept_by = materialize(keepers(occ, min_docs), "keepers")
+    lost = occ.join(kept_by, "hash").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     per_doc = lost.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     return per_doc.select("doc_id", "rid", F.size("dropped").cast("long").alias("n_dropped"), "dropped")
 
