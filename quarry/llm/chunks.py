@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -64,7 +65,7 @@ def slab_ranges(sorted_keys: np.ndarray, slabs: int) -> Iterator[tuple[int, int,
 def encode(columns: dict[str, pa.Array]) -> bytes:
     sink = pa.BufferOutputStream()
     batch = pa.RecordBatch.from_pydict(columns)
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -74,9 +75,9 @@ def decode(payload: bytes) -> pa.RecordBatch:
 
 
 def chunk_table(docs: DataFrame, columns: list, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, payload, n_words): the ``columns`` (the last is the text) of all rows, packed
+    """(chunk, payload, size): the ``columns`` (the last is the text) of all rows, packed
     row after row into chunks of at most ``chunk_bytes`` of text, a longer text alone; null
-    is kept as null.  n_words is the number of blank-separated words.
+    is kept as null.  ``size`` is the bytes of text, and one for each row.
 
     The chunk number names the partition and the place in it; the table is stored before
     anyone reads the number, so a task that runs again changes nothing."""
@@ -94,13 +95,12 @@ def chunk_table(docs: DataFrame, columns: list, chunk_bytes: int = CHUNK_BYTES)
         def close():
             nonlocal number
             table = pa.Table.from_batches(parts).combine_chunks()
-            words = sum(len(t.encode("utf-8", "surrogatepass").split()) for t in table.column(names[-1]).to_pylist() if t)
             payload = encode({n: table.column(n).combine_chunks() for n in names})
             number += 1
-            return pa.RecordBatch.from_pydict({"chunk": [base | (number - 1)], "payload": [payload], "n_words": pa.array([words], pa.int64())})
+            return pa.RecordBatch.from_pydict({"chunk": [base | (number - 1)], "payload": [payload], "size": pa.array([held], pa.int64())})
 
         for batch in batches:
-            sizes = [len(t) if t else 0 for t in batch.column(names[-1]).cast(pa.large_binary()).to_pylist()]
+            sizes = pc.fill_null(pc.binary_length(batch.column(names[-1])), 0).to_pylist()
             begin = 0
             for i, n in enumerate(sizes):
                 if held and held + n > chunk_bytes:
@@ -112,7 +112,7 @@ def chunk_table(docs: DataFrame, columns: list, chunk_bytes: int = CHUNK_BYTES)
         if held:
             yield close()
 
-    rows = frame.mapInArrow(fill, "chunk long, payload binary, n_words long")
+    rows = frame.mapInArrow(fill, "chunk long, payload binary, size long")
     return materialize_bucketed(rows, "chunks", "chunk", buckets)
 
 

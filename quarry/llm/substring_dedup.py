@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, slab_ranges, unpack, unpack_sorted
-from quarry.llm.words import WHITE, Words, blocks, mix, multipliers, separators, windows
+from quarry.llm.words import WHITE, Words, blocks, distinct, mix, multipliers, separators, windows
 from quarry.session import materialize
 
 WINDOW = 13
@@ -82,7 +82,7 @@ class Chunk:
         left = np.arange(len(self.key))
         for row in range(DEPTH):
             code = self.cells(row)
-            cells = np.unique(code)
+            cells = distinct(code)
             flag = np.zeros(len(cells), bool)
             for slab, a, b in runs(cells):
                 flag[a:b] = np.unpackbits(np.frombuffer(answers[slab]["bits"], np.uint8), count=b - a)
@@ -113,9 +113,8 @@ class Chunk:
         for slab, a, b in slab_ranges(self.key[w[first]], self.slabs):
             gone[a:b] = np.unpackbits(np.frombuffer(earlier[slab]["bits"], np.uint8), count=b - a)
         lost = w[gone[group] | (self.doc[w] > self.doc[w[first]][group])]
-        change = np.zeros(self.total + 1, np.int64)
-        np.add.at(change, self.first[lost], 1)
-        np.add.at(change, self.first[lost] + self.window, -1)
+        begin = self.first[lost]
+        change = np.bincount(begin, minlength=self.total + 1) - np.bincount(begin + self.window, minlength=self.total + 1)
         return np.cumsum(change)[:-1] > 0
 
 
@@ -158,8 +157,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CH
     """(doc_id, n_words, n_removed, removed, kept): per document the words removed, as runs
     [first word, words], and the words kept, joined by one blank.  Ids are integers."""
     chunks = chunk_table(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")], chunk_bytes)
-    words = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    slabs = max(1, -(-words // slab_windows))
+    size = chunks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    slabs = max(1, -(-size // (slab_windows * 6)))  # some six bytes of text to a word
     here = lambda row: Chunk(row["payload"], window, slabs)
 
     sketched = ask(chunks, lambda row: here(row).sketch(), merge_sketches, "n long, cells binary, twice binary", "bits binary")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.words import LOWER, Words, blocks, mix, separators
+from quarry.llm.words import LOWER, Words, blocks, distinct, mix, separators
 from quarry.session import ship_package
 
 GRAM = 5
@@ -73,7 +73,7 @@ class Chosen:
     LOW = np.uint64((1 << 20) - 1)
 
     def __init__(self, keys: np.ndarray):
-        self.keys = np.unique(keys)
+        self.keys = distinct(keys)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.keys & self.LOW).astype(np.int64)] = True
 
@@ -85,7 +85,7 @@ class Chosen:
         at = np.searchsorted(self.keys, key)
         at[at == len(self.keys)] = 0
         hit = self.keys[at] == key if len(self.keys) else np.zeros(0, bool)
-        both = np.unique(doc[hit] * (1 << 32) + at[hit])
+        both = distinct(doc[hit] * (1 << 32) + at[hit])
         return both >> 32, both & 0xFFFFFFFF
 
 

@@ -24,6 +24,12 @@ def separators(chars: bytes) -> np.ndarray:
     return table
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values.  Sorting beats ``np.unique``, which hashes them."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 class Powers:
     """Powers of an odd multiplier modulo 2^64 and of its inverse, grown on demand."""
 
