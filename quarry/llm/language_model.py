@@ -9,7 +9,7 @@ token is once in a held-out part.
 
 Counting is a question of chunks to key slabs (see ``chunks``): a chunk sends its distinct
 n-grams with its training counts and gets the totals back.  For the weights the chunks
-return, instead of tokens, counts of (bucket, estimates in half octaves); that table is
+return, instead of tokens, counts of (bucket, estimates in octaves); that table is
 bounded by its value ranges, not by the corpus, and only it reaches the driver.
 
 Defined cases
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
-from quarry.llm.words import LOWER, WHITE, Words, blocks, mix, separators
+from quarry.llm.words import LOWER, WHITE, Words, blocks, distinct, mix, separators
 from quarry.session import materialize_bucketed
 
 ORDER = 3
@@ -36,7 +36,7 @@ SLAB_KEYS = 1 << 20       # distinct chunk keys for which a slab is made
 SEP = separators(WHITE)
 END, START = np.uint64(0xE5D0F00DCAFE0001), np.uint64(0x57A27000BEEF0003)
 ADD = 0.1                 # additive constant of the base score
-STEPS = 2                 # estimates are kept in 1/STEPS octaves for the weights
+STEPS = 1                 # estimates are kept in 1/STEPS octaves for the weights
 BUCKETS = 16
 
 
@@ -87,7 +87,7 @@ def question(payload: bytes, slabs: int):
     for order, gram in enumerate(t.grams()):
         low = np.uint64(low_bits(order, slabs))
         gram = gram >> low << low
-        keys = np.unique(gram)
+        keys = distinct(gram)
         seen, count = np.unique(gram[t.trained], return_counts=True)
         counts = np.zeros(len(keys), np.uint64)
         counts[np.searchsorted(keys, seen)] = count
@@ -97,13 +97,15 @@ def question(payload: bytes, slabs: int):
 
 def reply(slab: int, rows: list[tuple]):
     """Totals of a slab's n-grams, in the order of each chunk's keys; the first row also
-    carries how many distinct n-grams were seen in training."""
+    carries, of the n-grams seen in training, how many distinct ones there are, how many
+    in all, and how often the end token is among them."""
     keys = [unpack_sorted(r[2], r[1]) for r in rows]
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(place, np.concatenate([unpack(r[3], r[1]) for r in rows]).astype(np.float64), len(distinct)).astype(np.uint64)
+    distinct_keys, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(place, np.concatenate([unpack(r[3], r[1]) for r in rows]).astype(np.float64), len(distinct_keys)).astype(np.uint64)
+    seen = (int((total > 0).sum()), int(total.sum()), int(total[distinct_keys == END].sum()))
     at = 0
     for i, (chunk, n, _, _) in enumerate(rows):
-        yield chunk, n, pack(total[place[at:at + n]]), int((total > 0).sum()) if i == 0 else 0
+        yield chunk, n, pack(total[place[at:at + n]]), *(seen if i == 0 else (0, 0, 0))
         at += n
 
 
@@ -134,7 +136,7 @@ class Counted(Tokens):
     def estimates(self) -> list[np.ndarray]:
         """Unigram, bigram and trigram likelihood of every token; 0 for a new context."""
         one = self.count[0] / max(1, self.tokens)
-        rest = [np.divide(c, x, out=np.zeros(len(c)), where=x > 0) for c, x in zip(self.count[1:], self.context)]
+        rest = [np.minimum(1, np.divide(c, x, out=np.zeros(len(c)), where=x > 0)) for c, x in zip(self.count[1:], self.context)]
         return [one, *rest]
 
     def bucket(self) -> np.ndarray:
@@ -145,8 +147,8 @@ class Counted(Tokens):
 
 
 def steps(p: np.ndarray) -> np.ndarray:
-    """Estimate in half octaves below 1, from 1; 0 for none."""
-    return np.where(p > 0, np.minimum(126, np.round(-STEPS * np.log2(np.where(p > 0, p, 1)))).astype(np.int64) + 1, 0)
+    """Estimate in octaves below 1, from 1; 0 for none."""
+    return np.where(p > 0, np.clip(np.round(-STEPS * np.log2(np.where(p > 0, p, 1))), 0, 126).astype(np.int64) + 1, 0)
 
 
 def learn_weights(cells: list[tuple[int, int]], floor: float, rounds: int = 60) -> np.ndarray:
@@ -175,24 +177,17 @@ def score(docs: DataFrame, train: Column, chunk_bytes: int = CHUNK_BYTES, slab_k
     ``train`` (over doc_id, null is false) chooses the rows that counts are taken from."""
     cols = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col("text").cast("string").alias("text")]
     chunks = chunk_table(docs, cols, chunk_bytes)
-    words = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    slabs = max(1, -(-words // slab_keys))
-    counted = ask(chunks, lambda row: question(row["payload"], slabs), reply, "n long, keys binary, counts binary", "size long, totals binary, distinct long")
+    size = chunks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    slabs = max(1, -(-size // (slab_keys * 6)))  # some six bytes of text to a token
+    counted = ask(
+        chunks, lambda row: question(row["payload"], slabs), reply,
+        "n long, keys binary, counts binary", "size long, totals binary, kinds long, seen long, ends long",
+    )
     counted = materialize_bucketed(counted, "counts", "chunk", chunks._buckets)
-
-    def size(batches):
-        for batch in batches:
-            for row in rows_of(batch):
-                t = decode(row["payload"])
-                on = t.column(1).to_numpy(zero_copy_only=False)
-                texts = t.column(2).to_pylist()
-                n = sum(len((x or "").encode("utf-8", "surrogatepass").split()) + 1 for x, o in zip(texts, on) if o)
-                yield pa.RecordBatch.from_pydict({"docs": pa.array([int(on.sum())], pa.int64()), "tokens": pa.array([n], pa.int64())})
-
-    n = chunks.mapInArrow(size, "docs long, tokens long").agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     one = counted.select(F.explode("answers").alias("a")).where(F.col("a.slab") < slabs)
-    distinct = one.agg(F.coalesce(F.sum("a.distinct"), F.lit(0))).first()[0]
-    n_docs, n_tokens, floor = n.docs, n.tokens, 1 / (distinct + 1)
+    found = one.agg(*(F.coalesce(F.sum(f"a.{c}"), F.lit(0)).alias(c) for c in ("kinds", "seen", "ends"))).first()
+    kinds, n_tokens, n_docs = found.kinds, found.seen, found.ends
+    floor = 1 / (kinds + 1)
     joined = chunks.join(counted, "chunk")
     here = lambda row, deleted: Counted(row["payload"], by_slab(row["answers"]), slabs, n_docs, n_tokens, deleted)
 
@@ -217,7 +212,7 @@ def score(docs: DataFrame, train: Column, chunk_bytes: int = CHUNK_BYTES, slab_k
                 p = w[:, 0] * floor
                 for k, e in enumerate(c.estimates()):
                     p = p + w[:, k + 1] * e
-                base = (c.count[0] + ADD) / (n_tokens + ADD * (distinct + 1))
+                base = (c.count[0] + ADD) / (n_tokens + ADD * (kinds + 1))
                 per_text = lambda x: np.add.reduceat(x, c.begin)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": c.batch.column(0), "n_tokens": pa.array(c.length), "n_known": pa.array(per_text((c.count[0] > 0).astype(np.int64))),
