@@ -37,7 +37,12 @@ PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 NAME = r"(?<!\p{L})(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra|Sr|Господин|Госпожа|Κύριος|Κυρία)\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"
 KINDS = {"secret": SECRET, "email": EMAIL, "cloud_key": CLOUD_KEY, "iban": IBAN, "ip": IP, "card": CARD, "phone": PHONE, "ssn": SSN, "name": NAME}
-ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+# One cheap look at a place decides which kinds are tried there.
+ANY = (
+    f"(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?:{SECRET}|{EMAIL}|{CLOUD_KEY}|{IBAN})"
+    f"|(?=[0-9(+])(?:{IP}|{CARD}|{PHONE}|{SSN})"
+    f"|(?<!\\p{{L}})(?=\\p{{Lu}}){NAME}"
+)
 
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"]
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]
@@ -105,9 +110,9 @@ def in_format(norm: Column, numbers: Column, fixed_head: Column, fixed_tail: Col
     return F.array_join(F.transform(chars, new), "")
 
 
-def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
-    """Surrogate of an entity, in the normal form of its kind."""
-    r = draw(key, kind, norm, attempt)
+def surrogate(kind: Column, norm: Column, attempt: Column, r: Column) -> Column:
+    """Surrogate of an entity, in the normal form of its kind, from the numbers ``r``; that
+    must be a stored column, as it is read once per character."""
     zero = F.lit(0)
     digits = lambda s: F.transform(F.split(s, ""), lambda c: c.cast("int"))
     card = in_format(norm, r, F.lit(1), zero)
@@ -155,9 +160,13 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     surrogate keeps it and the others draw again; the loop ends when nobody is left."""
     spark = entities.sparkSession
     taken = entities.select("kind", F.col("norm").alias("surrogate"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pending, done = materialize(entities.withColumn("attempt", F.lit(0)), "pii-pending"), None
     for _ in range(MAX_ROUNDS):
-        drawn = materialize(pending.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))), "pii-drawn")
+        each = pending.repartition(n, "kind", "norm")  # some numbers per character: spread the few rows
+        each = each.withColumn("numbers", draw(key, F.col("kind"), F.col("norm"), F.col("attempt")))
+        drawn = each.withColumn("surrogate", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("numbers"))).drop("numbers")
+        drawn = materialize(drawn, "pii-drawn")
         free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
         if done is not None:
             free = free.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
