@@ -36,6 +36,7 @@ from quarry.session import ship_package
 
 WINDOW = 13
 BENCH_BYTES = 16 << 20
+SHARD_BYTES = 2 << 20  # text of a shard
 
 # Word characters after lower-casing: 0-9, a-z and every byte of a non-ASCII character.
 SEP = separators(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
@@ -202,7 +203,7 @@ def contamination(docs: DataFrame, bench: DataFrame, keep: list[str], window: in
             for batch in batches:
                 earlier, listed = batch.column("hit"), batch.column("items")
                 n, hits, items = [], [], []
-                for first, texts in blocks(batch.column("t").to_pylist()):
+                for first, texts in blocks(batch.column("t").to_pylist(), SHARD_BYTES):
                     shard = Shard(texts, held.value)
                     covered, found = shard.covered(), shard.items()
                     for d, words in enumerate(shard.n_words):
@@ -237,7 +238,7 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, par
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for first, texts in blocks(batch.column("text").to_pylist()):
+                for first, texts in blocks(batch.column("text").to_pylist(), SHARD_BYTES):
                     rows = list(Shard(texts, held.value).matches())
                     at, *rest = zip(*rows) if rows else [[]] * 5
                     ids = batch.column("doc_id").take(pa.array([first + d for d in at], pa.int64()))

@@ -13,7 +13,7 @@ import numpy as np
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 _M64 = (1 << 64) - 1
 
 
