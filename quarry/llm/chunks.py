@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import materialize_bucketed, ship_package
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def pack(values: np.ndarray) -> bytes:
