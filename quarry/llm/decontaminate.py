@@ -193,7 +193,8 @@ def contamination(docs: DataFrame, bench: DataFrame, keep: list[str], window: in
     spark = docs.sparkSession
     ship_package(spark)
     tables = parts(bench, window, part_bytes)
-    frame = docs.select(F.struct(*(docs[c] for c in keep)).alias("row"), docs["text"].cast("string").alias("t"))
+    inside = "text" in keep and docs.schema["text"].dataType == T.StringType()  # the text then travels once
+    frame = docs.select(F.struct(*(docs[c] for c in keep)).alias("row"), (F.lit(None) if inside else docs["text"]).cast("string").alias("t"))
     frame = frame.withColumns({"n": F.lit(0).cast("long"), "hit": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")})
     final = T.StructType([frame.schema["row"], T.StructField("n", T.LongType()), T.StructField("hit", T.LongType()), frame.schema["items"]])
     for i, table in enumerate(tables):
@@ -203,7 +204,8 @@ def contamination(docs: DataFrame, bench: DataFrame, keep: list[str], window: in
             for batch in batches:
                 earlier, listed = batch.column("hit"), batch.column("items")
                 n, hits, items = [], [], []
-                for first, texts in blocks(batch.column("t").to_pylist(), SHARD_BYTES):
+                column = batch.column("row").field("text") if inside else batch.column("t")
+                for first, texts in blocks((t.as_py() for t in column), SHARD_BYTES):
                     shard = Shard(texts, held.value)
                     covered, found = shard.covered(), shard.items()
                     for d, words in enumerate(shard.n_words):
@@ -238,7 +240,7 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, par
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for first, texts in blocks(batch.column("text").to_pylist(), SHARD_BYTES):
+                for first, texts in blocks((t.as_py() for t in batch.column("text")), SHARD_BYTES):
                     rows = list(Shard(texts, held.value).matches())
                     at, *rest = zip(*rows) if rows else [[]] * 5
                     ids = batch.column("doc_id").take(pa.array([first + d for d in at], pa.int64()))

@@ -204,11 +204,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     held = spark.sparkContext.broadcast(model)
-    frame = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("t"))
+    frame = docs.select(F.struct(*(docs[c].cast("string").alias(c) if c == "text" else docs[c] for c in docs.columns)).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [held.value.score(texts) for _, texts in blocks(batch.column("t").to_pylist())]
+            column = batch.column("row").field("text")
+            out = [held.value.score(texts) for _, texts in blocks(t.as_py() for t in column)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.concatenate(out) if out else [], pa.float64())], ["row", "score"])
 
     return frame.mapInArrow(run, T.StructType([frame.schema["row"], T.StructField("score", T.DoubleType())]))
