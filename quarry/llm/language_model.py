@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
+from quarry.llm.chunks import ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
 from quarry.llm.words import LOWER, WHITE, Words, blocks, distinct, mix, separators
 from quarry.session import materialize_bucketed
 
 ORDER = 3
+CHUNK_BYTES = 6 << 20     # larger chunks send fewer keys twice
 SLAB_KEYS = 1 << 20       # distinct chunk keys for which a slab is made
 SEP = separators(WHITE)
 END, START = np.uint64(0xE5D0F00DCAFE0001), np.uint64(0x57A27000BEEF0003)
