@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 R = 6
+RANK_DIGITS = 8  # ranks are taken above the noise of summation order, not on shown digits
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
@@ -110,13 +111,13 @@ def category_extremes(df: DataFrame, cat: str, target: str, n: int = 5) -> DataF
 
     The mean per category is a partial + final aggregation; the two ranking
     windows run over one row per category with a group limit each."""
-    means = df.groupBy(cat).agg(F.round(F.avg(F.col(target).cast("double")), R).alias("mean_target"))
+    means = df.groupBy(cat).agg(F.round(F.avg(F.col(target).cast("double")), RANK_DIGITS).alias("mean_target"))
 
     def side(order: Column, name: str) -> DataFrame:
         # orderBy + limit is a distributed top-k (TakeOrdered); the numbering
         # window then sees at most n rows.
         k = means.orderBy(order, F.col(cat)).limit(n)
-        return k.withColumn("rn", F.row_number().over(Window.orderBy(order, F.col(cat))).cast("long")).withColumn("side", F.lit(name))
+        return k.withColumn("rn", F.row_number().over(Window.orderBy(order, F.col(cat))).cast("long")).withColumns({"side": F.lit(name), "mean_target": F.round("mean_target", R)})
 
     return side(F.col("mean_target").desc(), "top").unionByName(side(F.col("mean_target").asc(), "bottom"))
 

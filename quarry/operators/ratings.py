@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 R = 6
+RANK_DIGITS = 12  # ranks are taken above the noise of summation order, not on shown digits
 
 
 def top_by_count(df: DataFrame, item: str = "item", k: int = 10) -> DataFrame:
@@ -21,10 +22,11 @@ def top_by_count(df: DataFrame, item: str = "item", k: int = 10) -> DataFrame:
 def top_by_mean(df: DataFrame, item: str = "item", mark: str = "mark", min_count: int = 100, k: int = 10) -> DataFrame:
     stats = df.groupBy(item).agg(
         F.count(F.lit(1)).alias("n_reviews"),
-        F.round(F.avg(F.col(mark).cast("double")), R).alias("mean_mark"),
+        F.round(F.avg(F.col(mark).cast("double")), RANK_DIGITS).alias("mean_mark"),
     )
-    return (
+    top = (
         stats.where(F.col("n_reviews") >= min_count)
         .orderBy(F.col("mean_mark").desc(), F.col(item).asc())
         .limit(k)
     )
+    return top.withColumn("mean_mark", F.round("mean_mark", R))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import graph as G
 from quarry.plans import register
+from quarry.session import materialize
 from quarry.sources.tables import Tables
 
 R = 6
@@ -125,6 +126,17 @@ def graph_components(spark, sf):
     return G.connected_components(part_edges(t, SPARSE_MIN_WEIGHT), part_nodes(t))
 
 
+@register(
+    "graph_components_full",
+    f"WITH RECURSIVE {EDGES_SQL}, reach(node, label) AS (SELECT node, node FROM nodes UNION "
+    "SELECT b.dst, reach.label FROM reach JOIN both_dir b ON b.src = reach.node) SELECT node, min(label) AS component FROM reach GROUP BY node",
+)
+def graph_components_full(spark, sf):
+    """G8 on the whole part graph, every edge."""
+    t = Tables(spark, sf)
+    return G.connected_components(part_edges(t), part_nodes(t))
+
+
 @register(
     "graph_component_shapes",
     f"""WITH RECURSIVE {EDGES_SQL}, {CC_SQL},
@@ -137,6 +149,24 @@ def graph_components(spark, sf):
 def graph_component_shapes(spark, sf):
     """G7 profile: nodes, edges, max degree and cycle flag of every non-trivial component."""
     t = Tables(spark, sf)
-    e = part_edges(t, SPARSE_MIN_WEIGHT)
+    e = materialize(part_edges(t, SPARSE_MIN_WEIGHT), "part-edges")
     shapes = G.component_shapes(e, G.connected_components(e, part_nodes(t)))
     return shapes.where(F.col("n_nodes") > 1)
+
+
+@register(
+    "graph_two_cycle_tests",
+    f"""WITH RECURSIVE {EDGES_SQL}, {CC_SQL},
+    deg AS (SELECT n.node, coalesce(d.degree, 0) AS degree FROM nodes n LEFT JOIN (SELECT src AS node, count(*) AS degree FROM sd GROUP BY 1) d USING (node)),
+    agg AS (SELECT component, count(*) AS n_nodes, max(degree) AS mx, min(degree) AS mn FROM comp JOIN deg USING (node) GROUP BY component HAVING count(*) > 1),
+    s AS (SELECT count(*) AS k, coalesce(bool_and(mn = 2 AND mx = 2), false) AS cycles, coalesce(sum(n_nodes), 0) AS covered, min(n_nodes) AS lo, max(n_nodes) AS hi FROM agg),
+    t AS (SELECT count(*) AS n FROM nodes)
+    SELECT k = 2 AND cycles AND lo = hi AND lo = n // 2 AS two_equal_cycles, k = 2 AND cycles AS two_cycles,
+           k = 2 AND cycles AND covered = n AS two_cycles_cover_all FROM s, t""",
+)
+def graph_two_cycle_tests(spark, sf):
+    """The three whole-graph tests on the sparse part graph."""
+    t = Tables(spark, sf)
+    e = materialize(part_edges(t, SPARSE_MIN_WEIGHT), "part-edges")
+    shapes = G.component_shapes(e, G.connected_components(e, part_nodes(t)))
+    return G.two_cycle_tests(shapes, part_nodes(t).count())

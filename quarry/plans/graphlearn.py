@@ -13,6 +13,7 @@ from quarry.ml import features as FE
 from quarry.operators import graphlearn as GL
 from quarry.plans import register
 from quarry.plans.graph import EDGES_SQL, part_edges
+from quarry.session import materialize
 from quarry.sources.tables import Tables
 
 R = 6
@@ -28,7 +29,7 @@ def _vec_edges(t):
     ids = t.embeddings.select(F.col("vec_id").alias("n"))
     e = part_edges(t).select("src", "dst")
     e = e.join(ids.withColumnRenamed("n", "src"), "src", "left_semi").join(ids.withColumnRenamed("n", "dst"), "dst", "left_semi")
-    return e.select("src", "dst")
+    return materialize(e.select("src", "dst"), "vector-edges")  # read once per layer and direction
 
 
 def _feats(t):
@@ -143,7 +144,7 @@ def feature_svd(spark, sf):
 @register("graph_random_walks")
 def graph_random_walks(spark, sf):
     """One node2vec walk (p = 2, q = 0.5, 5 nodes) from every node with an edge."""
-    e = part_edges(Tables(spark, sf)).select("src", "dst")
+    e = materialize(part_edges(Tables(spark, sf)).select("src", "dst"), "part-edges")
     starts = e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node"))).distinct()
     return GL.random_walks(e, starts, WALK_LEN, WALK_P, WALK_Q)
 

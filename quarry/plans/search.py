@@ -45,12 +45,12 @@ qv AS (SELECT *, sqrt(sum(q_weight * q_weight) OVER (PARTITION BY query_id)) AS
 dots AS (SELECT q.query_id, b.doc_id, sum(b.tf_idf * q.q_weight) AS dot, max(b.norm) AS norm, max(q.q_norm) AS q_norm
          FROM book b JOIN qv q USING (word) GROUP BY q.query_id, b.doc_id),
 scored AS (SELECT query_id, doc_id,
-                  round(CASE WHEN norm * q_norm = 0 THEN NULL ELSE dot / (norm * q_norm) END, {R}) AS score
+                  round(CASE WHEN norm * q_norm = 0 THEN NULL ELSE dot / (norm * q_norm) END, {tfidf.RANK_DIGITS}) AS score
            FROM dots),
 ranked AS (SELECT query_id, doc_id, score,
                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS rank
            FROM scored WHERE score IS NOT NULL),
-topk AS (SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= {TOP_K})
+topk AS (SELECT query_id, rank, doc_id, round(score, {R}) AS score FROM ranked WHERE rank <= {TOP_K})
 """
 
 

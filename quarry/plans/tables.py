@@ -27,7 +27,7 @@ def rating_topk_count(spark, sf):
 @register(
     "rating_topk_avg",
     f"WITH {fx.RATINGS_SQL} SELECT item, count(*) AS n_reviews, round(avg(mark), {R}) AS mean_mark FROM ratings "
-    f"GROUP BY item HAVING count(*) >= {fx.RATING_MIN_COUNT} ORDER BY mean_mark DESC, item ASC LIMIT 10",
+    f"GROUP BY item HAVING count(*) >= {fx.RATING_MIN_COUNT} ORDER BY round(avg(mark), 12) DESC, item ASC LIMIT 10",
 )
 def rating_topk_avg(spark, sf):
     return ratings.top_by_mean(fx.ratings(Tables(spark, sf)), min_count=fx.RATING_MIN_COUNT, k=10)
@@ -220,10 +220,10 @@ def zscore_outliers(spark, sf):
 
 @register(
     "category_extremes",
-    f"""WITH m AS (SELECT l_suppkey, round(avg(l_extendedprice), {R}) AS mean_target FROM lineitem GROUP BY l_suppkey),
+    f"""WITH m AS (SELECT l_suppkey, round(avg(l_extendedprice), 8) AS mean_target FROM lineitem GROUP BY l_suppkey),
          t AS (SELECT l_suppkey, mean_target, row_number() OVER (ORDER BY mean_target DESC, l_suppkey) AS rn, 'top' AS side FROM m),
          b AS (SELECT l_suppkey, mean_target, row_number() OVER (ORDER BY mean_target ASC, l_suppkey) AS rn, 'bottom' AS side FROM m)
-    SELECT * FROM t WHERE rn <= 5 UNION ALL SELECT * FROM b WHERE rn <= 5""",
+    SELECT l_suppkey, round(mean_target, {R}) AS mean_target, rn, side FROM (SELECT * FROM t WHERE rn <= 5 UNION ALL SELECT * FROM b WHERE rn <= 5)""",
 )
 def category_extremes(spark, sf):
     return profile.category_extremes(Tables(spark, sf).lineitem, "l_suppkey", "l_extendedprice", n=5)

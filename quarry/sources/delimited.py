@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
+def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     """Tab-separated with a header line; fields holding a tab, quote or newline are
     quoted and inner quotes doubled (RFC-4180 style)."""
-    (df.write.mode("error").option("sep", "\t").option("header", True)
+    (df.write.mode("error").option("sep", "\t").option("header", header)
        .option("quote", '"').option("escape", '"').option("quoteAll", False).csv(path))
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Reader matching ``write_tsv``: doubled quotes are un-doubled, quoted fields
-    may span lines.  Pass ``schema`` on production paths; without it every
-    column is a string."""
-    reader = (spark.read.option("sep", "\t").option("header", True)
-              .option("quote", '"').option("escape", '"').option("multiLine", True))
+def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = None, quoted_newlines: bool = False, header: bool = True) -> DataFrame:
+    """Reader matching ``write_tsv``: doubled quotes are un-doubled.  Pass ``schema`` on
+    production paths; without it every column is a string.  ``quoted_newlines`` lets
+    quoted fields span lines, which makes a file one task: only where they occur.
+    ``header=False`` reads header-less files (columns by position in ``schema``)."""
+    reader = (spark.read.option("sep", "\t").option("header", header)
+              .option("quote", '"').option("escape", '"').option("multiLine", quoted_newlines))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)

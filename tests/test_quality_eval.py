@@ -43,3 +43,24 @@ def test_roc_is_monotone_and_ends_at_one(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1)], "label int, score double")
     pts = EV.roc_points(df, parts=3).orderBy(F.col("threshold").desc()).collect()
     assert [p.tp for p in pts] == [1, 1, 2, 2] and pts[-1].tpr == 1.0 and pts[-1].fpr == 1.0
+
+
+def test_auc_does_not_hang_on_exchange_reuse(spark):
+    """Each branch of the prefix sum sees the same range partitions without exchange reuse."""
+    from pyspark.sql import functions as F
+
+    from quarry.ml import evaluate as EV
+
+    pred = spark.range(4000).select((F.xxhash64("id") % 500).cast("double").alias("score"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).cast("int").alias("label"))
+    rows = [(r.score, r.label) for r in pred.collect()]
+    pos = [s for s, y in rows if y]
+    neg = [s for s, y in rows if not y]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        points = EV.roc_points(pred)
+        assert abs(EV.auc(points, pred).first().auc - want) < 1e-6
+        assert [(r.tp, r.fp) for r in points.where("threshold IS NULL").collect()] == [(0, 0)]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)

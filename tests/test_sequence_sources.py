@@ -42,7 +42,21 @@ def test_tsv_quotes_and_tabs_survive(spark):
     df = spark.createDataFrame(rows, "k long, s string")
     path = scratch_path(spark, "tsv-test")
     delimited.write_tsv(df, path)
-    back = delimited.read_tsv(spark, path, "k long, s string")
+    back = delimited.read_tsv(spark, path, "k long, s string", quoted_newlines=True)
     assert sorted(back.collect()) == sorted(df.collect())
     raw = delimited.read_lines_split(spark, path)
     assert raw.where(F.col("fields")[0] == "2").first() is not None
+
+
+def test_postings_lines_stay_near_their_bound_for_ids_with_a_common_factor(spark):
+    from quarry.sources import postings
+
+    tf = spark.createDataFrame([("w", 3 * i, 1) for i in range(300)], "word string, doc_id long, tf long")
+    lines = [r.value for r in postings.to_lines(tf, max_per_line=10).collect()]
+    assert max(v.count("(") for v in lines) <= 25 and sum(v.count("(") for v in lines) == 300
+
+
+def test_headerless_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.5), (2, None)], "item long, mark double")
+    delimited.write_tsv(df, str(tmp_path / "x"), header=False)
+    assert sorted(delimited.read_tsv(spark, str(tmp_path / "x"), "item long, mark double", header=False).collect()) == sorted(df.collect())
