@@ -32,7 +32,7 @@ def test_auc_equals_pairwise_probability(spark):
     rnd = random.Random(3)
     rows = [(i, rnd.choice([0, 1]), float(rnd.randint(0, 20))) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, label int, score double")
-    got = EV.auc(EV.roc_points(df, parts=4), df).first().auc
+    got = EV.auc(EV.roc_points(df), df).first().auc
     pos = [s for _, y, s in rows if y == 1]
     neg = [s for _, y, s in rows if y == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
@@ -41,8 +41,8 @@ def test_auc_equals_pairwise_probability(spark):
 
 def test_roc_is_monotone_and_ends_at_one(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1)], "label int, score double")
-    pts = EV.roc_points(df, parts=3).orderBy(F.col("threshold").desc()).collect()
-    assert [p.tp for p in pts] == [1, 1, 2, 2] and pts[-1].tpr == 1.0 and pts[-1].fpr == 1.0
+    pts = EV.roc_points(df).orderBy(F.col("threshold").desc_nulls_first()).collect()
+    assert [p.tp for p in pts] == [0, 1, 1, 2, 2] and pts[0].fpr == 0.0 and pts[-1].tpr == 1.0 and pts[-1].fpr == 1.0
 
 
 def test_auc_does_not_hang_on_exchange_reuse(spark):
