@@ -27,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.chunks import ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
+from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
 from quarry.llm.words import LOWER, WHITE, Words, blocks, distinct, mix, separators
 from quarry.session import materialize_bucketed
 
 ORDER = 3
-CHUNK_BYTES = 6 << 20     # larger chunks send fewer keys twice
 SLAB_KEYS = 1 << 20       # distinct chunk keys for which a slab is made
 SEP = separators(WHITE)
 END, START = np.uint64(0xE5D0F00DCAFE0001), np.uint64(0x57A27000BEEF0003)
@@ -63,15 +62,17 @@ class Tokens:
         self.begin = np.cumsum(self.length) - self.length
         self.trained = np.repeat(self.train, self.length)
 
-    def grams(self) -> list[np.ndarray]:
-        """Keys of the 1-, 2- and 3-grams that end in each token; starts are padded."""
+    def grams(self):
+        """Keys of the 1-, 2- and 3-grams that end in each token, one order after the other;
+        starts are padded."""
+        yield self.key
         back1 = np.roll(self.key, 1)
         back1[self.begin] = START
         back2 = np.roll(back1, 1)
         back2[self.begin] = START
         two = mix(self.key * np.uint64(0x9FB21C651E98DF25) + mix(back1))
-        three = mix(two * np.uint64(0xC2B2AE3D27D4EB4F) + mix(back2 ^ np.uint64(0x165667B19E3779F9)))
-        return [self.key, two, three]
+        yield two
+        yield mix(two * np.uint64(0xC2B2AE3D27D4EB4F) + mix(back2 ^ np.uint64(0x165667B19E3779F9)))
 
 
 def slab_numbers(sorted_keys: np.ndarray, order: int, slabs: int):
