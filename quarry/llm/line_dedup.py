@@ -55,23 +55,27 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return keyed.where(F.char_length("key") >= min_chars).select(F.unhex(F.md5("key")).alias("hash"), "doc_id", "rid", "pos")
 
 
+def salt_of(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(SALTS))
+
+
 def keepers(occ: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(hash, keeper): hashes found in at least ``min_docs`` documents, and the largest
-    document that holds each.
+    """(hash, salt, keeper): hashes found in at least ``min_docs`` documents, with every
+    salt they occur under, and the largest document that holds each.
 
     Every (hash, salt) is one run of a range partition sorted by document and position.
     A document has one salt, so each run streams its first ``min_docs`` documents and the
     runs of a hash add up: at most salts x min_docs rows per hash leave this step, a hot
     line included."""
-    salted = occ.select("hash", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"), "doc_id", "pos")
+    salted = occ.select("hash", salt_of(F.col("doc_id")).alias("salt"), "doc_id", "pos")
     order = [F.col("doc_id").desc_nulls_last(), F.col("pos").asc()]
     ranged = salted.repartitionByRange("hash", "salt").sortWithinPartitions("hash", "salt", *order)
     run = Window.partitionBy("hash", "salt").orderBy(*order)
     doc_run = Window.partitionBy("hash", "salt").orderBy(F.col("doc_id").desc_nulls_last())
     streamed = ranged.withColumn("nth", F.dense_rank().over(doc_run)).withColumn("before", F.lag("nth", 1, 0).over(run))
     firsts = streamed.where((F.col("nth") <= min_docs) & (F.col("before") != F.col("nth")))
-    merged = firsts.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
-    return merged.where(F.col("n") >= min_docs).select("hash", "keeper")
+    merged = firsts.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"), F.collect_set("salt").alias("salts"))
+    return merged.where(F.col("n") >= min_docs).select("hash", F.explode("salts").alias("salt"), "keeper")
 
 
 def pack(bits: Column) -> Column:
@@ -103,7 +107,8 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     """(doc_id, rid, n_dropped, dropped) per document that loses lines; ``dropped`` are the
     sorted positions, ``keep_bits`` packs them."""
     occ = materialize(occurrences(docs, min_chars), "lines")
-    lost = occ.join(keepers(occ, min_docs), "hash").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    salted = occ.withColumn("salt", salt_of(F.col("doc_id")))  # a hot line meets its keeper in many tasks
+    lost = salted.join(keepers(occ, min_docs), ["hash", "salt"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     per_doc = lost.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     return per_doc.select("doc_id", "rid", F.size("dropped").cast("long").alias("n_dropped"), "dropped")
 
