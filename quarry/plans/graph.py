@@ -79,22 +79,30 @@ def graph_triangles(spark, sf):
     return G.triangles(part_edges(Tables(spark, sf)))
 
 
-@register(
-    "graph_bowties",
-    f"""WITH {EDGES_SQL}, {TRI_SQL},
+BOWTIE_SQL = f"""WITH {EDGES_SQL}, {TRI_SQL},
     corner AS (SELECT a AS center, b AS x, c AS y FROM tri UNION ALL SELECT b, a, c FROM tri UNION ALL SELECT c, a, b FROM tri)
     SELECT l.center, l.x AS a, l.y AS b, r.x AS c, r.y AS d
     FROM corner l JOIN corner r ON l.center = r.center
     WHERE (l.x < r.x OR (l.x = r.x AND l.y < r.y))
       AND l.x <> r.x AND l.x <> r.y AND l.y <> r.x AND l.y <> r.y
       AND NOT EXISTS (SELECT 1 FROM pe WHERE (src, dst) IN ((least(l.x, r.x), greatest(l.x, r.x)), (least(l.x, r.y), greatest(l.x, r.y)),
-                                                             (least(l.y, r.x), greatest(l.y, r.x)), (least(l.y, r.y), greatest(l.y, r.y))))""",
-)
+                                                             (least(l.y, r.x), greatest(l.y, r.x)), (least(l.y, r.y), greatest(l.y, r.y))))"""
+
+
+@register("graph_bowties", BOWTIE_SQL)
 def graph_bowties(spark, sf):
     """Induced bow-ties (two triangles sharing exactly one node, no other edge)."""
     return G.bowties(part_edges(Tables(spark, sf)))
 
 
+@register("graph_bowtie_count", f"SELECT count(*) AS n_bowties, count(DISTINCT center) AS n_centers FROM ({BOWTIE_SQL})")
+def graph_bowtie_count(spark, sf):
+    """G5 as the number of bow-ties, and of nodes that are the centre of one."""
+    e = materialize(part_edges(Tables(spark, sf)).select("src", "dst"), "part-edges")
+    per_center = G.bowties(e).groupBy("center").agg(F.count(F.lit(1)).alias("n"))
+    return per_center.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_bowties"), F.count(F.lit(1)).alias("n_centers"))
+
+
 @register(
     "graph_cycles_le4",
     f"""WITH {EDGES_SQL}, {TRI_SQL},

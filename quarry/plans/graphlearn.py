@@ -4,7 +4,7 @@ key) carry that vector; edges are the part graph restricted to such parts."""
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA, Word2Vec
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -22,7 +22,7 @@ PROJ_DIM = 16
 PROJ_SEED = 17
 LAYERS = 2
 WALK_LEN, WALK_P, WALK_Q = 5, 2.0, 0.5
-EMB_DIM = 16
+WALK_WINDOW, EMB_DIM = 3, 16
 
 
 def _vec_edges(t):
@@ -141,7 +141,34 @@ def feature_svd(spark, sf):
     return model.transform(e).select("vec_id", vector_to_array("pc").alias("pc"))
 
 
-@register("graph_random_walks")
+def _h32_sql(*parts: str) -> str:
+    joined = " || ',' || ".join(f"CAST({x} AS VARCHAR)" for x in parts)
+    return f"('0x' || substr(md5({joined}), 1, 8))::BIGINT"
+
+
+def walks_cte(trials: int = 128) -> str:
+    """The walks with every step a CTE; ``trials`` draws are enough that the chance of a
+    walker without an accepted one is below 1e-15 a step."""
+    top = max(1 / WALK_P, 1, 1 / WALK_Q)
+    steps = []
+    for k in range(1, WALK_LEN):
+        pos = f"({_h32_sql('17', 'f.walk_id', str(k), 't')} * d.degree) // 4294967296"
+        luck = f"{_h32_sql('17', 'f.walk_id', str(k), 't', repr('accept'))} / 4294967296.0"
+        steps.append(f"""s{k} AS (SELECT f.walk_id, any_value(f.cur) AS prev, arg_min(n.dst, t) AS cur
+    FROM s{k - 1} f JOIN degs d ON d.src = f.cur CROSS JOIN range(0, {trials}) r(t)
+    JOIN places n ON n.src = f.cur AND n.pos = {pos}
+    WHERE f.prev IS NULL OR CAST({luck} AS DOUBLE) * {top} < CASE WHEN n.dst = f.prev THEN {1 / WALK_P} WHEN (f.prev, n.dst) IN (SELECT src, dst FROM both_dir) THEN 1.0 ELSE {1 / WALK_Q} END
+    GROUP BY f.walk_id)""")
+    each = " UNION ALL ".join(f"SELECT walk_id, {k} AS step, cur AS node FROM s{k}" for k in range(WALK_LEN))
+    return f"""{EDGES_SQL},
+    places AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY {_h32_sql('src', 'dst')}, dst) - 1 AS pos FROM both_dir),
+    degs AS (SELECT src, count(*) AS degree FROM both_dir GROUP BY src),
+    s0 AS (SELECT src AS walk_id, CAST(NULL AS BIGINT) AS prev, src AS cur FROM degs),
+    {", ".join(steps)},
+    walks AS ({each})"""
+
+
+@register("graph_random_walks", f"WITH {walks_cte()} SELECT walk_id, step, node FROM walks")
 def graph_random_walks(spark, sf):
     """One node2vec walk (p = 2, q = 0.5, 5 nodes) from every node with an edge."""
     e = materialize(part_edges(Tables(spark, sf)).select("src", "dst"), "part-edges")
@@ -149,14 +176,38 @@ def graph_random_walks(spark, sf):
     return GL.random_walks(e, starts, WALK_LEN, WALK_P, WALK_Q)
 
 
-@register("graph_node_embedding")
+def node_vectors(spark, sf):
+    return GL.walk_embedding(graph_random_walks(spark, sf), WALK_WINDOW, EMB_DIM)
+
+
+@register(
+    "graph_node_embedding",
+    f"""WITH {walks_cte()},
+    pairs AS (SELECT a.node, b.node AS other, count(*) AS n FROM walks a JOIN walks b ON a.walk_id = b.walk_id
+              AND abs(a.step - b.step) BETWEEN 1 AND {WALK_WINDOW} GROUP BY 1, 2),
+    tot AS (SELECT node, sum(n) AS n FROM pairs GROUP BY 1),
+    w AS (SELECT p.node, {_h32_sql('17', 'p.other')} AS bits,
+                 greatest(0.0, ln(CAST(p.n AS DOUBLE) * (SELECT sum(n) FROM pairs) / (CAST(a.n AS DOUBLE) * b.n))) AS w
+          FROM pairs p JOIN tot a ON a.node = p.node JOIN tot b ON b.node = p.other),
+    v AS (SELECT node, d AS dim, sum(CASE WHEN (bits >> d) & 1 = 1 THEN w ELSE -w END) AS x FROM w CROSS JOIN range(0, {EMB_DIM}) r(d) GROUP BY 1, 2)
+    SELECT node, CAST(dim AS INTEGER) AS dim, round(coalesce(x / nullif(sqrt(sum(x * x) OVER (PARTITION BY node)), 0), 0), {R}) + 0.0 AS value FROM v""",
+)
 def graph_node_embedding(spark, sf):
-    """Word2Vec over the walks (nodes as words)."""
-    walks = graph_random_walks(spark, sf)
-    seqs = walks.groupBy("walk_id").agg(F.array_sort(F.collect_list(F.struct("step", F.col("node").cast("string").alias("w")))).alias("s"))
-    seqs = seqs.select(F.transform("s", lambda x: x["w"]).alias("walk"))
-    model = Word2Vec(vectorSize=EMB_DIM, minCount=1, windowSize=3, seed=17, inputCol="walk", outputCol="v").fit(seqs)
-    return model.getVectors().select(F.col("word").cast("long").alias("node"), vector_to_array("vector").alias("embedding"))
+    """Node vectors from the walks' co-occurrences."""
+    v = GL.to_long(node_vectors(spark, sf), "node", "embedding")
+    return v.select("node", "dim", (F.round("value", R) + 0.0).alias("value"))
+
+
+@register("node_embedding_classify")
+def node_embedding_classify(spark, sf):
+    """N3 on N2's vectors: multinomial logistic regression on the label of each part that
+    has one (hash split on the node)."""
+    t = Tables(spark, sf)
+    labels = t.embeddings.select(F.col("vec_id").alias("node"), F.col("label").cast("double").alias("label"))
+    rows = node_vectors(spark, sf).join(labels, "node").select("node", "label", array_to_vector("embedding").alias("features"), FE.hash_split(F.col("node")).alias("split"))
+    rows = materialize(rows, "node-features")
+    m = LogisticRegression(maxIter=50, regParam=0.01).fit(rows.where(F.col("split") == "train"))
+    return m.transform(rows.where(F.col("split") == "test")).select("node", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
 
 
 @register("embedding_classify")
