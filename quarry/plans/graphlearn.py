@@ -128,9 +128,10 @@ def feature_zero_pad(spark, sf):
 def feature_random_projection(spark, sf):
     """Project vectors with a seeded ±1/√k matrix (k = 16)."""
     e = Tables(spark, sf).embeddings
-    d_in = e.select(F.max(F.size("embedding"))).first()[0]
-    proj = GL.random_projection(GL.to_long(e, "vec_id", "embedding"), GL.projection_matrix(spark, d_in, PROJ_DIM, PROJ_SEED))
-    return proj.select(F.col("node").alias("vec_id"), "dim", F.round("value", R).alias("value"))
+    d_in = e.select(F.max(F.size("embedding"))).first()[0] or 1
+    projected = e.select("vec_id", GL.random_projection(F.col("embedding"), GL.projection_axes(d_in, PROJ_DIM, PROJ_SEED)).alias("v"))
+    long = GL.to_long(projected, "vec_id", "v")
+    return long.select(F.col("node").alias("vec_id"), "dim", F.round("value", R).alias("value"))
 
 
 @register("feature_svd")
