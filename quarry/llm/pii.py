@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quarry.session import materialize, release
 
 # Patterns (Java syntax) of each entity type, in the order they are tried.
-SECRET = r"""(?<![A-Za-z])(?:password|passwd|token|secret|api_key|apikey)\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9+/_-]{8,}"""
+SECRET = r"""(?<![A-Za-z])(?i:password|passwd|token|secret|api_key|apikey)\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9+/_-]{8,}"""
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 CLOUD_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"

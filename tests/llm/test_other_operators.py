@@ -142,6 +142,17 @@ def test_pii_keeps_format_and_coreference(replaced):
     assert re.fullmatch(r'token = "[a-z0-9]{40}" AKIA[A-Z0-9]{16} DE\d{20} \d{3}-\d{2}-\d{4}', four) and "078-05-1120" not in four
 
 
+def test_pii_secret_keyword_in_any_case(spark):
+    """The keyword's case is kept, no value stays, and one value has one surrogate."""
+    value = "9233A8EC04dbebab91ab85687d33eeaa"
+    words = ["TOKEN", "Token", "token", "PASSWORD", "Passwd", "SECRET", "API_KEY", "ApiKey", "MY_TOKEN"]
+    text = " ".join(f'{w} = "{value}";' for w in words)
+    [r] = pii.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").collect()
+    found = re.findall(r'(\w+) = "([A-Z0-9a-z]{32})";', r.replaced)
+    assert r.n_replaced == len(words) and [w for w, _ in found] == words
+    assert len({v for _, v in found}) == 1 and value not in r.replaced
+
+
 def test_pii_leaves_other_text_alone(replaced):
     for k in (4, 5, 6):
         r = replaced[PII[k]]
