@@ -24,7 +24,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.words import LOWER
@@ -56,15 +56,15 @@ def fingerprint(text: str | None, k: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, k: int = SHINGLE, *more: Column) -> DataFrame:
+    """(doc_id, fp) and the columns ``more``: fp is the fingerprint as a signed long."""
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select("doc_id", of(F.col("text").cast("string")).alias("fp"))
+    return docs.select("doc_id", of(F.col("text").cast("string")).alias("fp"), *more)
 
 
 def masks(radius: int, turn: int = 0) -> list[int]:
@@ -127,25 +127,38 @@ def links(fps: DataFrame, radius: int = RADIUS, split_above: int = SPLIT_ABOVE)
     return buckets.select("fps").mapInPandas(search, "src long, dst long").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """(doc_id, fp, component_id): documents joined by chains of fingerprints that differ
-    in at most ``radius`` bits; component_id is the smallest doc_id of the group.
+def rooted(marks: DataFrame, first: Column, radius: int, split_above: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, first, root) of every fingerprint, and (root, lead) of every group: its smallest
+    ``first``, a column over ``marks``.
 
     Copies share a fingerprint and never make pairs: the graph is over distinct
     fingerprints."""
-    marks = materialize(fingerprints(docs, k), "fingerprints")
-    each = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    each = marks.groupBy("fp").agg(F.min(first).alias("first"))
     found = materialize(links(each.select("fp"), radius, split_above), "fp-links")
     ends = found.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     groups = connected_components(found, ends).toDF("fp", "root")
-    rooted = each.join(groups, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    final = rooted.join(smallest, "root").select("fp", "component_id")
+    each = each.join(groups, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return each, each.groupBy("root").agg(F.min("first").alias("lead"))
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """(doc_id, fp, component_id): documents joined by chains of fingerprints that differ
+    in at most ``radius`` bits; component_id is the smallest doc_id of the group."""
+    marks = materialize(fingerprints(docs, k), "fingerprints")
+    each, smallest = rooted(marks, F.col("doc_id"), radius, split_above)
+    final = each.join(smallest, "root").select("fp", F.col("lead").alias("component_id"))
     return marks.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` (all columns) that lead their group: those with its smallest
-    doc_id.  Rows without an id stay when their whole group has none."""
-    lead = near_duplicates(docs, k, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_lead")).distinct()
-    return docs.join(lead, docs["doc_id"].eqNullSafe(lead["_lead"]), "left_semi")
+    """One row of ``docs`` (all columns) of each group: of those with its smallest doc_id,
+    null only if the whole group has no other, the one with the smallest hash.  Equal rows
+    are one."""
+    parts = [x for c in docs.columns for x in (docs[c], docs[c].isNull())]
+    k1, k2 = F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(1), *parts).alias("k2")
+    marks = materialize(fingerprints(docs, k, F.struct(k1, k2).alias("key")), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("key.k1").alias("k1"), F.col("key.k2").alias("k2"))
+    lead = rooted(marks, first, radius, SPLIT_ABOVE)[1].select("lead.k1", "lead.k2")
+    # equal rows meet after a partial aggregation, so a row that is repeated often is not one task
+    rows = docs.select(k1, k2, F.struct(*(docs[c] for c in docs.columns)).alias("row")).groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    return rows.join(lead, ["k1", "k2"], "left_semi").select("row.*")

@@ -89,6 +89,19 @@ def test_simhash(docs, rows):
     assert {r.doc_id for r in kept.collect()} == set(smallest.values())
 
 
+def test_keep_first_keeps_one_row_of_each_group(spark):
+    """Repeated rows, an id in several groups, other columns that differ, groups without ids."""
+    text = {g: " ".join(f"{g}{i}" for i in range(30)) for g in "abcdef"}
+    data = [(1, "a", "x")] * 3 + [(2, "a", "x"), (None, "a", "x")]      # repeated rows of the leading id
+    data += [(1, "b", "x"), (0, "b", "x"), (5, "c", "x"), (1, "c", "x")]  # an id that leads elsewhere
+    data += [(7, "d", "x"), (7, "d", "y"), (7, "d", None)]              # one id and text, other columns
+    data += [(None, "e", "x")] * 3 + [(None, "e", None), (None, "f", "x"), (9, "f", "x")]
+    docs = spark.createDataFrame([(i, text[g], s, g) for i, g, s in data], "doc_id long, text string, source string, fp string").repartition(5)
+    out = simhash.keep_first(docs).collect()
+    assert Counter((r.fp, r.doc_id) for r in out) == Counter({("a", 1): 1, ("b", 0): 1, ("c", 1): 1, ("d", 7): 1, ("e", None): 1, ("f", 9): 1})
+    assert all(r.text == text[r.fp] for r in out)
+
+
 def test_covering_masks_miss_no_pair_within_the_radius(spark):
     rnd = np.random.default_rng(3)
     for turn in (0, 1):
