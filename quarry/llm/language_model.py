@@ -3,20 +3,21 @@
 The model mixes maximum-likelihood estimates of trigram, bigram and unigram and a uniform
 floor.  The mixture weights depend on how often the context was seen (buckets by powers of
 two of the trigram context's count, or of the bigram context's where the trigram context
-is new).  They are learned by expectation-maximisation on deleted counts: each chunk of
-training text is scored with its own counts taken out of the totals, so every training
-token is once in a held-out part.
+is new).  They are learned by expectation-maximisation on deleted counts: each training
+text is scored with its own counts taken out of the totals, so every training token is once
+in a held-out part, and the weights do not depend on how texts are stored or chunked.
 
 Counting is a question of chunks to key slabs (see ``chunks``): a chunk sends its distinct
 n-grams with its training counts and gets the totals back.  For the weights the chunks
-return, instead of tokens, counts of (bucket, estimates in octaves); that table is
-bounded by its value ranges, not by the corpus, and only it reaches the driver.
+return, instead of tokens, counts of (bucket, estimates in eighths of an octave); that table is
+stored and stays distributed: each round of the EM brings its sums by bucket to the driver.
 
 Defined cases
 * null and empty texts: the end token alone.
 * null doc_id: never used for training (its fold is undefined), held_out false; scored.
 * repeated doc_id: rows are trained on and scored one by one.
 * no training text: all counts zero; the model is the uniform floor.
+* buckets in which no training token falls: all weights equal.
 * empty table: no rows.  Other columns are ignored, whatever their names.
 """
 
@@ -29,14 +30,15 @@ from pyspark.sql import functions as F
 
 from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
 from quarry.llm.words import LOWER, WHITE, Words, blocks, distinct, mix, separators
-from quarry.session import materialize_bucketed
+from quarry.session import materialize, materialize_bucketed, release
 
 ORDER = 3
 SLAB_KEYS = 1 << 20       # distinct chunk keys for which a slab is made
 SEP = separators(WHITE)
 END, START = np.uint64(0xE5D0F00DCAFE0001), np.uint64(0x57A27000BEEF0003)
 ADD = 0.1                 # additive constant of the base score
-STEPS = 1                 # estimates are kept in 1/STEPS octaves for the weights
+STEPS = 8                 # estimates are kept in 1/STEPS octaves for the weights
+OCTAVES = 126             # that are told apart below 1
 BUCKETS = 16
 
 
@@ -116,7 +118,7 @@ class Counted(Tokens):
 
     def __init__(self, payload: bytes, answers: dict[int, dict], slabs: int, docs: int, tokens: int, deleted: bool):
         super().__init__(payload)
-        self.count, own = [], []
+        self.count = []
         for order, gram in enumerate(self.grams()):
             low = np.uint64(low_bits(order, slabs))
             gram = gram >> low << low
@@ -124,20 +126,29 @@ class Counted(Tokens):
             total = np.zeros(len(keys), np.float64)
             for slab, a, b in slab_numbers(keys, order, slabs):
                 total[a:b] = unpack(answers[slab]["totals"], answers[slab]["size"])
+            count = total[place]
             if deleted:
-                total -= np.bincount(place, self.trained, len(keys))
-            self.count.append(total[place])
-        n_docs = docs - (int(self.train.sum()) if deleted else 0)
-        self.tokens = tokens - (int(self.length[self.train].sum()) if deleted else 0)
+                count -= self.own(place, len(keys))
+            self.count.append(count)
+        less = np.where(self.train, 1, 0) if deleted else np.zeros(len(self.train), np.int64)
+        n_docs = docs - less
+        self.tokens = tokens - np.repeat(less * self.length, self.length)
         self.context = []  # of the bigram and of the trigram that ends in each token
         for order in range(ORDER - 1):
             c = np.roll(self.count[order], 1)
             c[self.begin] = n_docs
             self.context.append(c)
 
+    def own(self, place: np.ndarray, n: int) -> np.ndarray:
+        """How often each token's n-gram (``place`` of ``n``) is in its own text, if that is
+        trained on."""
+        text = np.repeat(np.arange(len(self.length)), self.length)
+        _, which, count = np.unique(text * n + place, return_inverse=True, return_counts=True)
+        return count[which] * self.trained
+
     def estimates(self) -> list[np.ndarray]:
         """Unigram, bigram and trigram likelihood of every token; 0 for a new context."""
-        one = self.count[0] / max(1, self.tokens)
+        one = self.count[0] / np.maximum(1, self.tokens)
         rest = [np.minimum(1, np.divide(c, x, out=np.zeros(len(c)), where=x > 0)) for c, x in zip(self.count[1:], self.context)]
         return [one, *rest]
 
@@ -148,28 +159,50 @@ class Counted(Tokens):
         return np.where(three > 0, BUCKETS + octave(three), np.where(two > 0, octave(two), 0))
 
 
+def bits(per_octave: int) -> int:
+    """Of a cell, for each estimate."""
+    return (OCTAVES * per_octave + 1).bit_length()
+
+
 def steps(p: np.ndarray) -> np.ndarray:
-    """Estimate in octaves below 1, from 1; 0 for none."""
-    return np.where(p > 0, np.clip(np.round(-STEPS * np.log2(np.where(p > 0, p, 1))), 0, 126).astype(np.int64) + 1, 0)
+    """Estimate in steps below 1, from 1; 0 for none."""
+    return np.where(p > 0, np.clip(np.round(-STEPS * np.log2(np.where(p > 0, p, 1))), 0, OCTAVES * STEPS).astype(np.int64) + 1, 0)
 
 
-def learn_weights(cells: list[tuple[int, int]], floor: float, rounds: int = 60) -> np.ndarray:
-    """Weights (floor, unigram, bigram, trigram) by bucket, from (cell, tokens), by EM."""
-    weights = np.full((2 * BUCKETS, ORDER + 1), 1 / (ORDER + 1))
-    if not cells:
-        return weights
-    cell, n = (np.array(x) for x in zip(*cells))
-    bucket = cell >> 21
+def shares(cell: np.ndarray, n: np.ndarray, weights: np.ndarray, floor: float, per_octave: int) -> np.ndarray:
+    """Tokens that ``weights`` give to floor, unigram, bigram and trigram, by bucket; the
+    cells' estimates are in 1/per_octave octaves."""
+    width = bits(per_octave)
+    bucket = cell >> (ORDER * width)
     p = [np.full(len(cell), floor)]
     for order in range(ORDER):
-        s = cell >> (7 * order) & 127
-        p.append(np.where(s > 0, 2.0 ** (-(s - 1) / STEPS), 0))
-    p = np.stack(p, axis=1)
+        s = cell >> (width * order) & (1 << width) - 1
+        p.append(np.where(s > 0, 2.0 ** (-(s - 1) / per_octave), 0))
+    part = weights[bucket] * np.stack(p, axis=1)
+    part *= (n / part.sum(axis=1))[:, None]
+    return np.stack([np.bincount(bucket, part[:, k], 2 * BUCKETS) for k in range(ORDER + 1)], axis=1)
+
+
+def learn_weights(cells: list[tuple[int, int]] | DataFrame, floor: float, rounds: int = 60, per_octave: int = 1) -> np.ndarray:
+    """Weights (floor, unigram, bigram, trigram) by bucket, from (cell, tokens), by EM.  Of a
+    stored table only the sums of its partitions come to the driver in each round."""
+    weights = np.full((2 * BUCKETS, ORDER + 1), 1 / (ORDER + 1))
+    if isinstance(cells, list):
+        cell, n = np.array(cells, np.int64).reshape(-1, 2).T
     for _ in range(rounds):
-        part = weights[bucket] * p
-        part *= (n / part.sum(axis=1))[:, None]
+        if isinstance(cells, list):
+            sums = shares(cell, n, weights, floor, per_octave)
+        else:
+            def part(batches, weights=weights):
+                sums = np.zeros_like(weights)
+                for b in batches:
+                    sums += shares(b.column(0).to_numpy(), b.column(1).to_numpy(), weights, floor, per_octave)
+                yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))})
+
+            found = [r.sums for r in cells.mapInArrow(part, "sums array<double>").collect()]
+            sums = np.array(found).reshape(-1, *weights.shape).sum(axis=0)
         # half a token of each estimate keeps every weight above zero
-        sums = np.stack([np.bincount(bucket, part[:, k], 2 * BUCKETS) for k in range(ORDER + 1)], axis=1) + 0.5
+        sums = sums + 0.5
         weights = sums / sums.sum(axis=1, keepdims=True)
     return weights
 
@@ -193,18 +226,22 @@ def score(docs: DataFrame, train: Column, chunk_bytes: int = CHUNK_BYTES, slab_k
     joined = chunks.join(counted, "chunk")
     here = lambda row, deleted: Counted(row["payload"], by_slab(row["answers"]), slabs, n_docs, n_tokens, deleted)
 
+    width = bits(STEPS)
+
     def held(batches):
         for batch in batches:
             for row in rows_of(batch):
                 c = here(row, True)
-                code = c.bucket() << 21
+                code = c.bucket() << (ORDER * width)
                 for order, p in enumerate(c.estimates()):
-                    code |= steps(p) << (7 * order)
+                    code |= steps(p) << (width * order)
                 cell, count = np.unique(code[c.trained], return_counts=True)
                 yield pa.RecordBatch.from_pydict({"cell": pa.array(cell, pa.int64()), "n": pa.array(count, pa.int64())})
 
     cells = joined.mapInArrow(held, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    weights = learn_weights([(r.cell, r.n) for r in cells.collect()], floor)
+    cells = materialize(cells, "cells")
+    weights = learn_weights(cells, floor, per_octave=STEPS)
+    release(cells)
 
     def finish(batches):
         for batch in batches:

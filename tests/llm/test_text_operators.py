@@ -181,6 +181,52 @@ def test_language_model(docs, rows, chunk):
     assert seen > base
 
 
+def plain_scores(rows, on, rounds=60):
+    """The model token by token: counts without the token's own text, exact estimates."""
+    texts = [[*(w.decode() for w in (t or "").encode().translate(bytes.maketrans(UP.encode(), LOW.encode())).split()), None] for _, t in rows]
+
+    def grams(t):
+        padded = ["<s>", "<s>", *t]
+        return [tuple(tuple(padded[k + 2 - o:k + 3]) for o in range(3)) for k in range(len(t))]
+
+    per = [Counter(g for gs in grams(t) for g in gs) for t in texts]
+    total = Counter()
+    for c, o in zip(per, on):
+        total.update(c if o else {})
+    floor, n_docs, n = 1 / (sum(len(g) == 1 for g in total) + 1), sum(on), sum(len(t) for t, o in zip(texts, on) if o)
+
+    def parts(d, deleted):
+        own, docs, tokens = (per[d], n_docs - 1, n - len(texts[d])) if deleted else (Counter(), n_docs, n)
+        get = lambda g: docs if set(g) == {"<s>"} else total[g] - own[g]
+        for one, two, three in grams(texts[d]):
+            c2, c3 = get(two[:1]), get(three[:2])
+            octave = lambda x: min(15, int(np.log2(max(x, 1))))
+            bucket = 16 + octave(c3) if c3 else octave(c2) if c2 else 0
+            yield bucket, [floor, get(one) / max(1, tokens), get(two) / c2 if c2 else 0, get(three) / c3 if c3 else 0]
+
+    held = [x for d in range(len(rows)) if on[d] for x in parts(d, True)]
+    bucket, p = np.array([b for b, _ in held]), np.array([e for _, e in held])
+    w = np.full((32, 4), 0.25)
+    for _ in range(rounds):
+        part = w[bucket] * p
+        part /= part.sum(axis=1, keepdims=True)
+        sums = np.stack([np.bincount(bucket, part[:, k], 32) for k in range(4)], axis=1) + 0.5
+        w = sums / sums.sum(axis=1, keepdims=True)
+    return [sum(float(np.log10(w[b] @ np.array(e))) for b, e in parts(d, False)) for d in range(len(rows))]
+
+
+def test_language_model_scores_as_a_plain_model(docs, rows):
+    """In one chunk as in many: only the rounding of estimates to eighths of an octave differs."""
+    on = [i is not None and zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in rows]
+    size = lambda t: len((t or "").encode().split()) + 1
+    want = sorted((str(i), size(t), s) for (i, t), s in zip(rows, plain_scores(rows, on)))
+    train = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
+    for frame, chunk in ((docs.coalesce(1), 1 << 20), (docs, 3000)):
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in language_model.score(frame, train, chunk).collect())
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert max(abs(g[2] / w[2] - 1) for g, w in zip(got, want)) < 0.01
+
+
 def test_weights_recover_a_mixture():
     """EM finds the weights that data of a known mixture was drawn with."""
     rnd = np.random.default_rng(5)
