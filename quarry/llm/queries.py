@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_model, line_dedup, mixing, pii, simhash, substring_dedup, toxicity, urls, vptree
+from quarry.llm import decontaminate, language_model, line_dedup, mixing, pii, rendezvous, simhash, substring_dedup, toxicity, urls, vptree
 from quarry.sources.tables import table
 
 # Secret of the surrogates; a deployment passes its own to ``pii.replace_entities``.
@@ -176,3 +176,28 @@ def op10_toxicity(spark, sf):
     return scored.select(
         "row.doc_id", toxicity.held_out(F.col("row.doc_id"), 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a string expression, bit by bit."""
+    byte = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    turned = "list_reduce(list_prepend(xor(c, y), [CAST(k AS BIGINT) for k in range(8)]), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {byte}), lambda c, y: {turned}), 4294967295)"
+
+
+SHARDS = 40
+SHARD_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, text, coalesce(CAST(doc_id AS VARCHAR), 'text ' || sha256(text), 'null') AS k FROM documents),
+b AS (SELECT r, s, bid FROM (SELECT r, s, substr(sha256(k || ':' || CAST(s // {rendezvous.PER_HASH} AS VARCHAR)), {rendezvous.HEX} * (s % {rendezvous.PER_HASH}) + 1, {rendezvous.HEX}) AS bid FROM d, range({SHARDS + 1}) t(s))),
+w AS (SELECT r, first(s ORDER BY bid DESC, s) FILTER (s < {SHARDS}) AS shard, first(s ORDER BY bid DESC, s) AS grown FROM b GROUP BY r),
+p AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) + {rendezvous.PER_ROW} AS BIGINT) AS size, {crc32_sql("coalesce(text, '')")} AS text_crc32, shard, grown,
+             substr(sha256(k || ':slot'), 1, {rendezvous.HEX}) AS pos FROM d JOIN w USING (r))
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY pos, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard
+FROM p"""
+
+
+@query("op12_sharding", SHARD_SQL)
+def op12_sharding(spark, sf):
+    placed = rendezvous.assign(table(spark, sf, "documents"), {s: 1.0 for s in range(SHARDS)}, {SHARDS: 1.0})
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
