@@ -93,12 +93,18 @@ def place(docs: DataFrame, weights: dict[int, float], added: dict[int, float] |
     return rows.select(key, "size", "text_crc32", F.col("_shards.now").alias("shard"), F.col("_shards.grown").alias("grown_shard"), digits(F.col("_key"), F.lit("slot"), F.lit(1)).alias("_at"))
 
 
+def partitions(spark, rows: int) -> int:
+    """Range partitions for ``rows`` small rows: the session's number, fewer for few rows,
+    more where they would hold over a million each."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // 8192)), rows >> 20)
+
+
 def with_slots(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     """``rows`` with ``slot``: 0, 1, 2, ... within each ``group`` by ``order``; rows that agree
     in all of these get slots in any order."""
     spark = rows.sparkSession
     stored = materialize(rows.withColumn("_read", F.monotonically_increasing_id()), "unplaced")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions(spark, stored.count())
     keys = [group, *order, "_read"]
     dealt = stored.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
     dealt = dealt.withColumn("_part", F.shiftright("_id", PARTITION_BITS)).withColumn("_nth", F.col("_id").bitwiseAND((1 << PARTITION_BITS) - 1))
