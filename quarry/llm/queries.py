@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_model, line_dedup, mixing, pii, rendezvous, simhash, substring_dedup, toxicity, urls, vptree
+from quarry.llm import conversation_trie, decontaminate, language_model, line_dedup, mixing, pii, rendezvous, simhash, spelling, substring_dedup, toxicity, urls, vptree
 from quarry.sources.tables import table
 
 # Secret of the surrogates; a deployment passes its own to ``pii.replace_entities``.
@@ -201,3 +201,49 @@ FROM p"""
 def op12_sharding(spark, sf):
     placed = rendezvous.assign(table(spark, sf, "documents"), {s: 1.0 for s in range(SHARDS)}, {SHARDS: 1.0})
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text) AS key, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words FROM t),
+o AS (SELECT conv_id, list(key ORDER BY turn NULLS FIRST, key) AS keys, list(words ORDER BY turn NULLS FIRST, key) AS words FROM k GROUP BY conv_id),
+h AS (SELECT *, {crc32_sql("CAST(conv_id AS VARCHAR)")} % {conversation_trie.HEADS} AS h FROM o),
+r AS (SELECT h.conv_id, coalesce(b.keys[1:h], []) || h.keys[h + 1:] AS keys, coalesce(b.words[1:h], []) || h.words[h + 1:] AS words
+      FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % {conversation_trie.FAMILY}),
+p AS (SELECT conv_id, d, array_to_string(keys[1:d], '') AS path, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(keys) AS ends
+      FROM (SELECT *, unnest(range(len(keys) + 1)) AS d FROM r)),
+n AS (SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+             string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids FROM p GROUP BY path, d),
+c AS (SELECT substr(path, 1, length(path) - 64) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+s AS (SELECT substr(path, 1, 64 * i) AS path, sum((n_convs - 1) * words) AS saved, count(*) FILTER (n_children IS NULL) AS n_leaves
+      FROM (SELECT n.*, n_children, unnest(range(depth + 1)) AS i FROM n LEFT JOIN c USING (path)) GROUP BY 1)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM n JOIN s USING (path) LEFT JOIN c USING (path) LEFT JOIN n u ON n.depth > 0 AND u.path = substr(n.path, 1, length(n.path) - 64)"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def op11_conversation_trie(spark, sf):
+    return conversation_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE o AS (
+  SELECT doc_id, w, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents) GROUP BY doc_id, w),
+x AS (SELECT *, {crc32_sql("CAST(doc_id AS VARCHAR) || ':' || w")} AS h FROM o),
+v AS (SELECT CASE WHEN h % {spelling.DROP_EVERY} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM x),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM v WHERE length(word) >= {spelling.MIN_CHARS} GROUP BY word HAVING sum(c) >= {spelling.MIN_COUNT}),
+d AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS short FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.short = b.short AND a.i = b.i AND a.word <> b.word
+          UNION SELECT d.word, w.word, w.n FROM d JOIN words w ON w.word = d.short
+          UNION SELECT w.word, d.word, d.n FROM d JOIN words w ON w.word = d.short),
+b AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+j AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.TIMES} * n THEN near END AS form, CASE WHEN near_n >= {spelling.TIMES} * n THEN near_n END AS form_n
+      FROM words LEFT JOIN b USING (word)),
+chain(word, root) AS (SELECT word, word FROM j UNION ALL SELECT chain.word, j.form FROM chain JOIN j ON j.word = chain.root WHERE j.form IS NOT NULL)
+SELECT j.word, j.form, root, j.n, j.n_near, j.form_n FROM j JOIN chain USING (word) JOIN j l ON l.word = root WHERE l.form IS NULL"""
+
+
+@query("op13_spelling_variants", SPELLING_SQL)
+def op13_spelling_variants(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
