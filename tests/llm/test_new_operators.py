@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import conversation_trie, rendezvous
+from quarry.llm import conversation_trie, rendezvous, spelling
 
 
 # --- sharding
@@ -145,3 +145,82 @@ def test_trie_of_nothing_and_of_turnless_conversations(spark):
     frame = spark.createDataFrame([(*r, None, None, None, None) for r in rows], CONVERSATIONS)
     got = Counter(map(tuple, conversation_trie.prefix_trie(frame).collect()))
     assert got == brute_trie(rows) and any(r[1] == 0 and r[7] != conversation_trie.NOTHING for r in got)
+
+
+# --- spelling variants
+
+
+def edits(w, letters):
+    yield from (w[:i] + w[i + 1:] for i in range(len(w)))
+    yield from (w[:i] + c + w[i + 1:] for i in range(len(w)) for c in letters if c != w[i])
+    yield from (w[:i] + c + w[i:] for i in range(len(w) + 1) for c in letters)
+
+
+def brute_variants(rows, min_chars):
+    count = Counter()
+    for i, t in rows:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = re.sub("[A-Z]", lambda m: m[0].lower(), w)
+            h = zlib.crc32(f"{i}:{w}".encode())
+            if i is not None and h % 31 == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            if len(w) >= min_chars:
+                count[w] += 1
+    count = {w: n for w, n in count.items() if n >= 2}
+    letters = {c for w in count for c in w}
+    near = {w: {x for x in edits(w, letters) if x in count and x != w} for w in count}
+    form = {}
+    for w, n in count.items():
+        if near[w]:
+            best = min(near[w], key=lambda x: (-count[x], x))
+            if count[best] >= 10 * n:
+                form[w] = best
+    out = []
+    for w, n in count.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), count[form[w]] if w in form else None))
+    return Counter(out)
+
+
+def spelling_rows(seed):
+    rnd = random.Random(seed)
+    heads = ["wolke", "straße", "ÉTÉ", "aaaa", "Naïve", "abcdef"]
+    base = [rnd.choice(heads) + "".join(rnd.choice("abné") for _ in range(rnd.randint(0, 6))) for _ in range(150)]
+    long = "".join(rnd.choice("abc") for _ in range(70))
+    base += [long[:63], long[:64], long[:65], long[:66], long[:30] + long[31:66], long[:40] + "z" + long[41:65], long[:40] + "é" + long[41:65], long[:66] + "a", "a" * 64, "a" * 65, "a" * 66, "b" + "a" * 65]
+    words = base + [rnd.choice(list(edits(w, "abné")) or [w]) for w in base for _ in range(3)]
+    rows = []
+    for i in range(-20, 120):
+        rows.append((i, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 80))) + "-" + "wolkenbruch" * (i % 3)))
+    rows += [(i, "schreibung " * 40 + "schreibun schreibunh") for i in (500, 501)] + [(502, "schreibunhh schreibunhh")]
+    rows += [(900 + k, w + " " + w) for k, w in enumerate(base[-12:])]
+    rows += [rows[3], rows[3], (7, None), (8, ""), (None, "schreibung SCHREIBUNG straßen straßen"), (None, None), (9, "ßtraßen × ÷ 漢字 İstanbul Wörter1Wörter2 " * 2), (10, "lang" * 30000 + " " + "lang" * 30000)]
+    return rows
+
+
+@pytest.mark.parametrize("seed, min_chars", [(1, 7), (2, 3)])
+def test_spelling_variants(spark, seed, min_chars):
+    rows = [r for r in spelling_rows(seed) if r[0] != 10]
+    cols = "doc_id long, text string, word string, n string, node string, letter string"
+    frame = spark.createDataFrame([(*r, "x", "x", "x", "x") for r in rows], cols).repartition(4)
+    out = spelling.variants(frame, min_chars).select("word", "form", "root", "n", "n_near", "form_n")
+    want = brute_variants(rows, min_chars)
+    assert any(r[1] and r[2] != r[1] for r in want) and any(len(r[0]) > 64 and r[4] for r in want)
+    assert Counter(map(tuple, out.collect())) == want
+
+
+def test_very_long_words_and_pieces(spark):
+    frame = spark.createDataFrame(spelling_rows(3)[-1:] * 2, "doc_id long, text string")
+    out = spelling.variants(frame).collect()
+    assert sum(r.n for r in out) == 4 and all(len(r.word) in (120000, 119999) for r in out)
+    text = "ab cde " * 7 + "fgh"
+    for size in (1, 2, 3, 5, 100):
+        spelling_piece, spelling.PIECE = spelling.PIECE, size
+        assert [w for p in spelling.pieces(text) for w in spelling.RUN.findall(p)] == spelling.RUN.findall(text)
+        spelling.PIECE = spelling_piece
+
+
+def test_no_documents_no_words(empty):
+    assert spelling.variants(empty).count() == 0
