@@ -62,14 +62,18 @@ def oriented(edges: DataFrame) -> DataFrame:
     )
 
 
-def triangles(edges: DataFrame) -> DataFrame:
-    """(a, b, c) with a < b < c — every triangle once."""
-    o = oriented(edges)
+def ranked_triangles(o: DataFrame) -> DataFrame:
+    """(u, v, w) of ``oriented`` edges, ascending in rank — every triangle once."""
     w1 = o.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     w2 = o.select(F.col("lo").alias("u"), F.col("hi").alias("w"))
     wedges = w1.join(w2, "u").where(F.col("v") != F.col("w"))
     close = o.select(F.col("lo").alias("v"), F.col("hi").alias("w"))
-    tri = wedges.join(close, ["v", "w"])
+    return wedges.join(close, ["v", "w"]).select("u", "v", "w")
+
+
+def triangles(edges: DataFrame) -> DataFrame:
+    """(a, b, c) with a < b < c — every triangle once."""
+    tri = ranked_triangles(oriented(edges))
     nodes3 = F.array_sort(F.array("u", "v", "w"))
     return tri.select(nodes3[0].alias("a"), nodes3[1].alias("b"), nodes3[2].alias("c"))
 
@@ -100,6 +104,91 @@ def bowties(edges: DataFrame, tri: DataFrame | None = None) -> DataFrame:
     return pairs.select("center", "a", "b", "c", "d")
 
 
+def bowtie_counts(edges: DataFrame) -> DataFrame:
+    """(center, n_triangles, n_bowties) for every node in a triangle, without a list of
+    bow-ties or of triangle pairs.
+
+    The triangles at a centre are the edges of its link graph (the graph among its
+    neighbours), and an induced bow-tie is a pair of disjoint link edges with none of the
+    four possible edges between them.  By inclusion-exclusion over those four, that is
+
+        disjoint pairs - paths of 3 edges + paws + 2 * 4-cycles - 2 * diamonds + 3 * K4
+
+    of the link graph, each from sums: paths, paws and diamonds from the degrees and the
+    triangles on a link edge (K4 of the graph), K4 of the link graph from K5, 4-cycles from
+    wedges at their highest-ranked node.  Cliques extend ranked cliques, so a hub pairs few
+    of its neighbours; all sums are keyed by (centre, neighbour) before they meet per centre."""
+    o = materialize(oriented(edges), "bowtie-edges")
+    tri = materialize(ranked_triangles(o), "bowtie-triangles")
+    up = lambda a, b: o.select(F.col("lo").alias(a), F.col("hi").alias(b))
+    k4 = tri.join(tri.select("u", "v", F.col("w").alias("x")), ["u", "v"]).join(up("w", "x"), ["w", "x"]).select("u", "v", "w", "x")
+    k4 = materialize(k4, "bowtie-k4")
+    k5 = k4.join(k4.select("u", "v", "w", F.col("x").alias("y")), ["u", "v", "w"]).join(up("x", "y"), ["x", "y"])
+
+    triple = lambda *c: F.array_sort(F.array(*c)).alias("t")
+    inside = k4.select(F.explode(F.array(*(F.array_sort(F.array(*c)) for c in (("u", "v", "w"), ("u", "v", "x"), ("u", "w", "x"), ("v", "w", "x"))))).alias("t"))
+    inside = inside.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    counted = tri.select("u", "v", "w", triple("u", "v", "w")).join(inside, "t", "left").select("u", "v", "w", F.coalesce("n", F.lit(0)).alias("n"))
+    corner = lambda c, x, y: F.struct(F.col(c).alias("center"), F.col(x).alias("x"), F.col(y).alias("y"), F.col("n").alias("n"))
+    link = counted.select(F.explode(F.array(corner("u", "v", "w"), corner("v", "u", "w"), corner("w", "u", "v"))).alias("e")).select("e.*")
+    link = materialize(link, "bowtie-links")
+    turned = link.select("center", F.col("y").alias("x"), F.col("x").alias("y"), "n")
+    ends = link.unionByName(turned)
+    at = materialize(ends.groupBy("center", "x").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n")), "bowtie-degrees")
+    one, two = at.select("center", "x", F.col("d").alias("dx")), at.select("center", F.col("x").alias("y"), F.col("d").alias("dy"))
+    graded = materialize(link.join(one, ["center", "x"]).join(two, ["center", "y"]), "bowtie-graded")
+
+    per_edge = graded.groupBy("center").agg(
+        F.count(F.lit(1)).alias("m"), F.sum((F.col("dx") - 1) * (F.col("dy") - 1) - F.col("n")).alias("paths"), F.sum(F.expr("n * (n - 1) div 2")).alias("diamonds")
+    )
+    per_node = at.groupBy("center").agg(F.sum(F.expr("d * (d - 1) div 2")).alias("touching"), F.sum(F.expr("n * (d - 2) div 2")).alias("paws"))
+    # from v up to u, on to any w ranked below u: two such wedges with the same ends close a cycle
+    rk = lambda d, x: F.struct(F.col(d).alias("d"), F.col(x).alias("n"))
+    rise = graded.select("center", F.least(rk("dx", "x"), rk("dy", "y")).alias("v"), F.greatest(rk("dx", "x"), rk("dy", "y")).alias("u"))
+    step = rise.select("center", "v", F.col("u").alias("w")).unionByName(rise.select("center", F.col("u").alias("v"), F.col("v").alias("w")))
+    wedges = rise.join(step, ["center", "v"]).where(F.col("w") < F.col("u"))
+    squares = wedges.groupBy("center", "u", "w").agg(F.count(F.lit(1)).alias("n")).groupBy("center").agg(F.sum(F.expr("n * (n - 1) div 2")).alias("squares"))
+    cliques = k5.select(F.explode(F.array("u", "v", "w", "x", "y")).alias("center")).groupBy("center").agg(F.count(F.lit(1)).alias("cliques"))
+
+    c = per_edge.join(per_node, "center").join(squares, "center", "left").join(cliques, "center", "left").na.fill(0, ["squares", "cliques"])
+    pairs = F.expr("m * (m - 1) div 2") - F.col("touching")
+    found = pairs - F.col("paths") + F.col("paws") + 2 * F.col("squares") - 2 * F.col("diamonds") + 3 * F.col("cliques")
+    return c.select("center", F.col("m").alias("n_triangles"), found.alias("n_bowties"))
+
+
+def simple_cycles(edges: DataFrame, max_length: int) -> DataFrame:
+    """(length, cycle): every simple cycle of 3 to ``max_length`` edges once, as an array of
+    nodes that starts at its smallest node and goes on to the smaller of its neighbours.
+
+    A cycle is put together from two half-paths that leave its highest-ranked node, rank =
+    (degree, node), and meet in the middle; no path is extended beyond half the length, and a
+    path only visits nodes ranked below its start, so hubs are starts and hardly ever lie
+    in the middle.  Of the two ways around, the one that leaves by the lower-ranked node
+    counts."""
+    if max_length < 3:
+        raise ValueError("a simple cycle has at least 3 edges")
+    rank = degrees(edges).select("node", F.struct("degree", "node").alias("r"))
+    e = both_directions(edges).join(rank.toDF("src", "a"), "src").join(rank.toDF("dst", "b"), "dst").select("a", "b")
+    e = materialize(e, "cycle-edges")
+    halves = {1: e.where(F.col("b") < F.col("a")).select(F.col("a").alias("s"), F.array("b").alias("path"), F.col("b").alias("t"))}
+    for n in range(2, (max_length + 1) // 2 + 1):
+        longer = halves[n - 1].join(e.toDF("t", "b"), "t").where((F.col("b") < F.col("s")) & ~F.array_contains("path", F.col("b")))
+        halves[n] = materialize(longer.select("s", F.concat("path", F.array("b")).alias("path"), F.col("b").alias("t")), "cycle-halves")
+    out = None
+    for length in range(3, max_length + 1):
+        a, b = (length + 1) // 2, length // 2
+        met = halves[a].join(halves[b].select("s", "t", F.col("path").alias("back")), ["s", "t"])
+        inner = lambda p, n: F.slice(p, 1, n - 1)
+        met = met.where((F.element_at("path", 1) < F.element_at("back", 1)) & ~F.arrays_overlap(inner("path", a), inner("back", b)))
+        nodes = F.transform(F.concat(F.array("s"), F.col("path"), F.reverse(inner("back", b))), lambda r: r["node"])
+        found = met.select(F.lit(length).alias("length"), nodes.alias("cycle"))
+        out = found if out is None else out.unionByName(found)
+    first = F.array_position("cycle", F.array_min("cycle")).cast("int")
+    turned = out.select("length", F.concat(F.slice("cycle", first, F.col("length")), F.slice("cycle", F.lit(1), first - 1)).alias("cycle"))
+    other = F.concat(F.slice("cycle", 1, 1), F.reverse(F.slice("cycle", F.lit(2), F.col("length") - 1)))
+    return turned.select("length", F.when(F.element_at("cycle", 2) < F.element_at("cycle", -1), F.col("cycle")).otherwise(other).alias("cycle"))
+
+
 def cycles4(edges: DataFrame) -> DataFrame:
     """4-cycles as sorted node sets (n1, n2, n3, n4), each once.
 

@@ -106,6 +106,13 @@ def zscore_outliers(df: DataFrame, col: str, threshold: float = 3.0) -> DataFram
     return z.where(F.abs(F.col("z")) > threshold).orderBy(F.abs(F.col("z")).desc())
 
 
+def signed_outliers(df: DataFrame, col: str, threshold: float = 3.0) -> DataFrame:
+    """Rows with z > threshold ("high") or a value below 0 ("negative"), with ``side``; a row
+    is never both unless the mean itself is far below 0, then it counts as high."""
+    side = F.when(F.col("z") > threshold, "high").when(F.col(col) < 0, "negative")
+    return zscore(df, col).withColumn("side", side).where(F.col("side").isNotNull())
+
+
 def category_extremes(df: DataFrame, cat: str, target: str, n: int = 5) -> DataFrame:
     """Top-n and bottom-n categories by mean target: (cat, mean, side, rn).
 

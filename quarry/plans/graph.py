@@ -97,10 +97,11 @@ def graph_bowties(spark, sf):
 
 @register("graph_bowtie_count", f"SELECT count(*) AS n_bowties, count(DISTINCT center) AS n_centers FROM ({BOWTIE_SQL})")
 def graph_bowtie_count(spark, sf):
-    """G5 as the number of bow-ties, and of nodes that are the centre of one."""
+    """G5 as the number of bow-ties, and of nodes that are the centre of one; no bow-tie is
+    listed."""
     e = materialize(part_edges(Tables(spark, sf)).select("src", "dst"), "part-edges")
-    per_center = G.bowties(e).groupBy("center").agg(F.count(F.lit(1)).alias("n"))
-    return per_center.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_bowties"), F.count(F.lit(1)).alias("n_centers"))
+    found = G.bowtie_counts(e).where(F.col("n_bowties") > 0)
+    return found.agg(F.coalesce(F.sum("n_bowties"), F.lit(0)).alias("n_bowties"), F.count(F.lit(1)).alias("n_centers"))
 
 
 @register(
@@ -119,6 +120,27 @@ def graph_cycles_le4(spark, sf):
     return t3.unionByName(t4)
 
 
+MAX_CYCLE = 6
+
+
+@register(
+    "graph_cycles_le6",
+    f"""WITH RECURSIVE {EDGES_SQL},
+    sp AS (SELECT src, dst FROM pe WHERE weight >= {SPARSE_MIN_WEIGHT}),
+    sd AS (SELECT src, dst FROM sp UNION ALL SELECT dst, src FROM sp),
+    walk(s, path) AS (SELECT src, [src, dst] FROM sd WHERE dst > src UNION ALL
+                      SELECT s, list_append(path, sd.dst) FROM walk JOIN sd ON sd.src = path[-1] WHERE len(path) < {MAX_CYCLE} AND sd.dst > s AND NOT list_contains(path, sd.dst)),
+    c AS (SELECT path FROM walk JOIN sd ON sd.src = path[-1] AND sd.dst = s WHERE len(path) >= 3 AND path[2] < path[-1])
+    SELECT CAST(len(path) AS INTEGER) AS length, array_to_string(list_sort(path), ',') AS nodes, count(*) AS n_cycles FROM c GROUP BY 1, 2""",
+)
+def graph_cycles_le6(spark, sf):
+    """G6 with the length bound 6, on the edges seen in at least two orders: node sets of
+    simple cycles, and how many cycles run through each set."""
+    found = G.simple_cycles(part_edges(Tables(spark, sf), SPARSE_MIN_WEIGHT), MAX_CYCLE)
+    nodes = F.array_join(F.array_sort("cycle").cast("array<string>"), ",")
+    return found.groupBy("length", nodes.alias("nodes")).agg(F.count(F.lit(1)).alias("n_cycles"))
+
+
 CC_SQL = f"""
 sp AS (SELECT src, dst FROM pe WHERE weight >= {SPARSE_MIN_WEIGHT}),
 sd AS (SELECT src, dst FROM sp UNION ALL SELECT dst, src FROM sp),

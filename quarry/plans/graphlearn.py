@@ -4,13 +4,14 @@ key) carry that vector; edges are the part graph restricted to such parts."""
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from quarry.ml import evaluate as EV
 from quarry.ml import features as FE
+from quarry.ml import train as TR
 from quarry.operators import graphlearn as GL
+from quarry.operators.factorize import truncated_svd
 from quarry.plans import register
 from quarry.plans.graph import EDGES_SQL, part_edges
 from quarry.session import materialize
@@ -23,6 +24,7 @@ PROJ_SEED = 17
 LAYERS = 2
 WALK_LEN, WALK_P, WALK_Q = 5, 2.0, 0.5
 WALK_WINDOW, EMB_DIM = 3, 16
+WIDE_LEN, WIDE_WALKS, WIDE_DIM = 10, 4, 128
 
 
 def _vec_edges(t):
@@ -136,10 +138,31 @@ def feature_random_projection(spark, sf):
 
 @register("feature_svd")
 def feature_svd(spark, sf):
-    """Principal components (k = 16) of the vectors."""
-    e = Tables(spark, sf).embeddings.select("vec_id", array_to_vector("embedding").alias("x"))
-    model = PCA(k=PROJ_DIM, inputCol="x", outputCol="pc").fit(e)
-    return model.transform(e).select("vec_id", vector_to_array("pc").alias("pc"))
+    """The vectors' coordinates along the axes of the 16 largest singular values."""
+    e = Tables(spark, sf).embeddings
+    svd = truncated_svd(e, "embedding", PROJ_DIM)
+    long = GL.to_long(e.select("vec_id", svd.project(F.col("embedding")).alias("v")), "vec_id", "v")
+    return long.select(F.col("node").alias("vec_id"), "dim", F.round("value", R).alias("value"))
+
+
+@register(
+    "feature_svd_spectrum",
+    """WITH f AS (SELECT vec_id, unnest(generate_series(1, len(embedding))) AS d, unnest(embedding)::DOUBLE AS v FROM embeddings),
+    g AS (SELECT a.d AS i, b.d AS j, sum(a.v * b.v) AS x FROM f a JOIN f b ON a.vec_id = b.vec_id GROUP BY 1, 2),
+    g2 AS (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM g a JOIN g b ON a.j = b.i GROUP BY 1, 2),
+    g3 AS (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM g2 a JOIN g b ON a.j = b.i GROUP BY 1, 2),
+    t AS (SELECT 1 AS p, sum(x) AS t FROM g WHERE i = j UNION ALL SELECT 2, sum(x * x) FROM g
+          UNION ALL SELECT 3, sum(g.x * g2.x) FROM g JOIN g2 USING (i, j) UNION ALL SELECT 4, sum(x * x) FROM g2
+          UNION ALL SELECT 5, sum(g2.x * g3.x) FROM g2 JOIN g3 USING (i, j) UNION ALL SELECT 6, sum(x * x) FROM g3)
+    SELECT p AS power, round(pow(t, 1.0 / p) / (SELECT t FROM t WHERE p = 1), 6) AS norm FROM t""",
+)
+def feature_svd_spectrum(spark, sf):
+    """Schatten norms of all singular values, relative to the first.  SQL has them as
+    traces of powers of the Gram matrix, without a decomposition."""
+    svd = truncated_svd(Tables(spark, sf).embeddings, "embedding", 1 << 20)
+    squares = svd.values**2
+    rows = [(p, float((squares**p).sum() ** (1 / p) / squares.sum())) for p in range(1, 7)] if squares.sum() > 0 else []
+    return spark.createDataFrame(rows, "power int, norm double").select("power", F.round("norm", R).alias("norm"))
 
 
 def _h32_sql(*parts: str) -> str:
@@ -199,18 +222,56 @@ def graph_node_embedding(spark, sf):
     return v.select("node", "dim", (F.round("value", R) + 0.0).alias("value"))
 
 
+def wide_node_vectors(spark, sf):
+    """N2 at full width: several longer walks a node, factorised to 128 columns."""
+    e = materialize(part_edges(Tables(spark, sf)).select("src", "dst"), "part-edges")
+    starts = e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node"))).distinct()
+    walks = materialize(GL.random_walks(e, starts, WIDE_LEN, WALK_P, WALK_Q, per_node=WIDE_WALKS), "walks")
+    return GL.walk_vectors(walks, WALK_WINDOW, WIDE_DIM)
+
+
+@register("graph_node_vectors")
+def graph_node_vectors(spark, sf):
+    """128-wide node vectors from four walks of ten nodes each."""
+    return wide_node_vectors(spark, sf)
+
+
 @register("node_embedding_classify")
 def node_embedding_classify(spark, sf):
-    """N3 on N2's vectors: multinomial logistic regression on the label of each part that
-    has one (hash split on the node)."""
+    """N3 on N2's 128-wide vectors: multinomial logistic regression on the label of each
+    part that has one (hash split on the node)."""
     t = Tables(spark, sf)
     labels = t.embeddings.select(F.col("vec_id").alias("node"), F.col("label").cast("double").alias("label"))
-    rows = node_vectors(spark, sf).join(labels, "node").select("node", "label", array_to_vector("embedding").alias("features"), FE.hash_split(F.col("node")).alias("split"))
+    rows = wide_node_vectors(spark, sf).join(labels, "node").select("node", "label", array_to_vector("embedding").alias("features"), FE.hash_split(F.col("node")).alias("split"))
     rows = materialize(rows, "node-features")
     m = LogisticRegression(maxIter=50, regParam=0.01).fit(rows.where(F.col("split") == "train"))
     return m.transform(rows.where(F.col("split") == "test")).select("node", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
 
 
+def link_predictions(spark, sf):
+    """Stored (src, dst, label, prediction, p1) of the held-out pairs: edges and hash-drawn
+    non-edges, split by a hash of the pair, scored by a network trained on the other pairs'
+    element-wise products of vectors."""
+    t = Tables(spark, sf)
+    e = _vec_edges(t)
+    pairs = e.withColumn("label", F.lit(1)).unionByName(GL.negative_samples(e).withColumn("label", F.lit(0)))
+    return materialize(TR.score_links(pairs, t.embeddings, "vec_id", "embedding"), "link-predictions")
+
+
+@register("link_score_mlp")
+def link_score_mlp(spark, sf):
+    """N4, trained mode: probability of an edge for every held-out pair."""
+    return link_predictions(spark, sf)
+
+
+@register("link_mlp_metrics")
+def link_mlp_metrics(spark, sf):
+    """AUC and metrics of the trained pair scorer, from its stored predictions."""
+    p = link_predictions(spark, sf)
+    auc = EV.auc(EV.roc_points(p, "p1"), p)
+    return EV.binary_metrics(EV.confusion(p)).select(auc.select("auc").scalar().alias("auc"), "*")
+
+
 @register("embedding_classify")
 def embedding_classify(spark, sf):
     """Multinomial logistic regression on the vectors (hash split on vec_id)."""

@@ -5,6 +5,7 @@ fixed rule "gross > 300,000" (SQL-checked)."""
 from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarry.ml import evaluate as EV
@@ -170,15 +171,29 @@ def _features():
     return FE.feature_pipeline(NUMERIC, CATEGORICAL)
 
 
-@register("ml_feature_table")
+def _feature_sql() -> str:
+    """Assembled, scaled slots: numbers, then one slot for each train category by frequency,
+    all over their sample deviation on the train side (0 where that is 0)."""
+    slots = [f"SELECT o_orderkey, label, split, {i} AS slot, CAST({c} AS DOUBLE) AS x FROM feat" for i, c in enumerate(NUMERIC)]
+    before = str(len(NUMERIC))
+    for c in CATEGORICAL:
+        slots.append(f"SELECT o_orderkey, label, split, {before} + idx AS slot, CASE WHEN {c} = v THEN 1.0 ELSE 0.0 END AS x FROM feat, k_{c}")
+        before += f" + (SELECT count(*) FROM k_{c})"
+    kinds = ", ".join(f"k_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, {c} ASC) - 1 AS idx FROM feat WHERE split = 'train' GROUP BY {c})" for c in CATEGORICAL)
+    return f"""WITH {FEAT_SQL}, {kinds}, raw AS ({' UNION ALL '.join(slots)}),
+    dev AS (SELECT slot, stddev_samp(x) AS sd FROM raw WHERE split = 'train' GROUP BY slot)
+    SELECT o_orderkey, label, split, CAST(slot AS INTEGER) AS slot, round(CASE WHEN sd > 0 THEN x / sd ELSE 0.0 END, {R}) AS value FROM raw JOIN dev USING (slot)"""
+
+
+@register("ml_feature_table", _feature_sql())
 def ml_feature_table(spark, sf):
-    """M2-M5: index → one-hot → assemble → scale, fitted on the train side only."""
+    """M2-M5: index → one-hot → assemble → scale, fitted on the train side only; a row for
+    each slot of the vector."""
     train, _ = _train_test(spark, sf)
     f = order_features(Tables(spark, sf))
     model = _features().fit(train)
-    from pyspark.ml.functions import vector_to_array
-
-    return model.transform(f).select("o_orderkey", "label", "split", vector_to_array("features").alias("features"))
+    made = model.transform(f).select("o_orderkey", "label", "split", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return made.select("o_orderkey", "label", "split", "slot", F.round("value", R).alias("value"))
 
 
 @register("ml_logreg")
@@ -235,6 +250,24 @@ def grid_search(spark, sf, names: list[str]):
     return spark.createDataFrame(rows, GRID_SCHEMA).withColumn("mean_auc", F.round("mean_auc", R))
 
 
+@register("ml_halving_grids")
+def ml_halving_grids(spark, sf):
+    """All four grids by successive halving on stored folds; every candidate's mean
+    AUC in each rung it took part in, and the best of each model."""
+    feats, width = _stored_features(spark, sf)
+    train = TR.with_folds(feats.where(F.col("split") == "train"), "o_orderkey")
+    return spark.createDataFrame(TR.halving_table(TR.reference_grids(width), train), TR.HALVING_SCHEMA).withColumn("mean_auc", F.round("mean_auc", R))
+
+
+@register("ml_best_parameters")
+def ml_best_parameters(spark, sf):
+    """Best parameters of the halved grids, written as a text report and read back."""
+    found = ml_halving_grids(spark, sf).where("best").select(F.format_string("%s: %s, mean AUC %.6f over all train rows", "model", "setting", "mean_auc").alias("value"))
+    report = scratch_path(spark, "best-parameters")
+    found.write.text(report)
+    return spark.read.text(report).withColumnRenamed("value", "line")
+
+
 @register("ml_cv_grid")
 def ml_cv_grid(spark, sf):
     """The 3 x 3 grid (regParam x elasticNetParam), 5 folds on AUC; one row per

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import languages as L
 from quarry.functions import text as T
+from quarry.operators import searchindex as SI
 from quarry.operators import tfidf
 from quarry.plans import register
+from quarry.session import scratch_folder
 from quarry.sources.tables import Tables
 
 TOP_K = 20
@@ -186,3 +189,64 @@ def tfidf_search_enriched(spark, sf):
         .join(top, "doc_id")
         .select("query_id", "rank", F.col("doc_id").alias("Document ID"), F.col("score").alias("Cosine Similarity"), "lang", "source", "n_chars")
     )
+
+
+# ---------------------------------- stored index ------------------------------------
+
+_BUILT: dict[tuple[str, str], SI.SearchIndex] = {}  # (application, tables) → index of documents
+
+
+def _index_of(spark, sf, fresh: bool = False) -> SI.SearchIndex:
+    """The stored index of ``documents``, built on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if fresh or key not in _BUILT or not SI.generations(spark, _BUILT[key].root):
+        _BUILT[key] = SI.build_index(Tables(spark, sf).documents, scratch_folder(spark, "search-index"))
+    return SI.open_index(spark, _BUILT[key].root)
+
+
+@register(
+    "search_index_build",
+    f"WITH {CODEBOOK_CTE} SELECT word, df, round(any_value(idf), {R}) AS idf, round(max(CASE WHEN norm <> 0 THEN tf_idf / norm END), {R}) AS top, "
+    "CAST(sum(tf) AS BIGINT) AS n, count(*) AS n_docs FROM book GROUP BY word, df",
+)
+def search_index_build(spark, sf):
+    """A new index of all documents, and what it holds of every word."""
+    index = _index_of(spark, sf, fresh=True)
+    held = index.postings.select("word", F.explode("entries").alias("e")).groupBy("word").agg(F.sum("e.tf").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    return index.words.join(held, "word").select("word", "df", _r(F.col("idf")).alias("idf"), _r(F.col("top")).alias("top"), "n", "n_docs")
+
+
+@register("search_index_topk", f"WITH {CODEBOOK_CTE}, {QUERY_CTE} SELECT * FROM topk")
+def search_index_topk(spark, sf):
+    """The batch searched on the stored index; documents are not read."""
+    return SI.search_index(_index_of(spark, sf), Tables(spark, sf).benchmark, k=TOP_K, id_col="item_id")
+
+
+@register(
+    "search_index_fields",
+    f"WITH {CODEBOOK_CTE}, {QUERY_CTE} SELECT topk.query_id, topk.rank, topk.doc_id AS \"Document ID\", "
+    "topk.score AS \"Cosine Similarity\", d.lang AS \"Field 1\", d.source AS \"Field 2\", d.n_chars AS \"Field 3\" "
+    "FROM topk JOIN documents d ON d.doc_id = topk.doc_id",
+)
+def search_index_fields(spark, sf):
+    """Hits of the stored index with their documents' columns under default names."""
+    hits = search_index_topk(spark, sf)
+    return tfidf.shaped(hits, Tables(spark, sf).documents.select("doc_id", "lang", "source", "n_chars"))
+
+
+@register("search_index_extend", f"WITH {CODEBOOK_CTE}, {QUERY_CTE} SELECT * FROM topk")
+def search_index_extend(spark, sf):
+    """An index of the documents of all sources but one, extended by that source's and
+    then searched, gives what the index of all documents gives."""
+    t = Tables(spark, sf)
+    late = F.coalesce(F.col("source") == "src0", F.lit(False))
+    index = SI.build_index(t.documents.where(~late), scratch_folder(spark, "search-index"))
+    index = SI.extend_index(index, t.documents.where(late))
+    return SI.search_index(index, t.benchmark, k=TOP_K, id_col="item_id")
+
+
+@register("text_preprocess_by_language", L.preprocess_by_language_sql("documents", "doc_id", "text", "lang"))
+def text_preprocess_by_language(spark, sf):
+    """X2/X3 by language: stop words and endings of each row's own language."""
+    d = Tables(spark, sf).documents
+    return d.select("doc_id", F.array_join(L.preprocess_by_language(F.col("text"), F.col("lang")), " ").alias("processed"))

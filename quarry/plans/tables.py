@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from quarry.operators import profile, quality, ratings
 from quarry.plans import fixtures as fx
 from quarry.plans import register
+from quarry.session import scratch_path
+from quarry.sources import nested
 from quarry.sources.tables import Tables
 
 R = 6
@@ -218,6 +220,18 @@ def zscore_outliers(spark, sf):
     return out.select("event_id", "value", F.round("z", R).alias("z"), (F.col("z") > 3).alias("above"))
 
 
+@register(
+    "zscore_signed",
+    f"""WITH s AS (SELECT avg(c_acctbal) AS mu, stddev_samp(c_acctbal) AS sd FROM customer),
+         z AS (SELECT c_custkey, c_acctbal, (c_acctbal - s.mu) / s.sd AS z FROM customer CROSS JOIN s)
+    SELECT c_custkey, c_acctbal, round(z, {R}) AS z, CASE WHEN z > 1.5 THEN 'high' ELSE 'negative' END AS side FROM z WHERE z > 1.5 OR c_acctbal < 0""",
+)
+def zscore_signed(spark, sf):
+    """P15, directional: balances far above the mean (z > 1.5), and negative ones."""
+    c = Tables(spark, sf).customer.select("c_custkey", "c_acctbal")
+    return profile.signed_outliers(c, "c_acctbal", 1.5).select("c_custkey", "c_acctbal", F.round("z", R).alias("z"), "side")
+
+
 @register(
     "category_extremes",
     f"""WITH m AS (SELECT l_suppkey, round(avg(l_extendedprice), 8) AS mean_target FROM lineitem GROUP BY l_suppkey),
@@ -251,3 +265,28 @@ def json_metrics_flatten(spark, sf):
     ev = Tables(spark, sf).events
     kv = ev.select("event_type", F.explode(F.from_json("props", "map<string,double>")).alias("metric", "v"))
     return kv.groupBy("event_type", "metric").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("v"), R).alias("mean_value"))
+
+
+@register(
+    "json_leaves",
+    """WITH c AS (SELECT n_nationkey, n_name, count(c_custkey) AS n, min(c_custkey) AS lo, max(c_custkey) AS hi
+                  FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2)
+    SELECT n_nationkey, '$.name' AS path, 'STRING' AS kind, n_name AS value FROM c
+    UNION ALL SELECT n_nationkey, '$.customers.n', 'BIGINT', CAST(n AS VARCHAR) FROM c
+    UNION ALL SELECT n_nationkey, '$.customers.range[0]', CASE WHEN lo IS NULL THEN 'VOID' ELSE 'BIGINT' END, CAST(lo AS VARCHAR) FROM c
+    UNION ALL SELECT n_nationkey, '$.customers.range[1]', CASE WHEN hi IS NULL THEN 'VOID' ELSE 'BIGINT' END, CAST(hi AS VARCHAR) FROM c
+    UNION ALL SELECT n_nationkey, CASE WHEN n % 2 = 0 THEN '$.notes[0].method' ELSE '$.notes' END, CASE WHEN n % 2 = 0 THEN 'STRING' ELSE 'EMPTY' END, CASE WHEN n % 2 = 0 THEN 'svd' END FROM c
+    UNION ALL SELECT n_nationkey, '$["is even"]', 'BOOLEAN', CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END FROM c""",
+)
+def json_leaves(spark, sf):
+    """One multi-line JSON file a nation, listed, read whole and opened leaf by leaf."""
+    t = Tables(spark, sf)
+    c = t.nation.join(t.customer, F.col("c_nationkey") == F.col("n_nationkey"), "left").groupBy("n_nationkey", "n_name").agg(F.count("c_custkey").alias("n"), F.min("c_custkey").alias("lo"), F.max("c_custkey").alias("hi"))
+    even = F.col("n") % 2 == 0
+    notes = F.when(even, F.array(F.struct(F.lit("svd").alias("method")))).otherwise(F.array().cast("array<struct<method: string>>"))
+    made = F.struct(F.col("n_name").alias("name"), F.struct("n", F.array("lo", "hi").alias("range")).alias("customers"), notes.alias("notes"), even.alias("is even"))
+    path = scratch_path(spark, "nations-json")
+    c.select("n_nationkey", F.to_json(made, {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    files = nested.read_whole_files(spark, path, "part-*")
+    key = F.regexp_extract("file", "n_nationkey=([0-9]+)", 1).cast("int").alias("n_nationkey")
+    return nested.json_leaves(files.select(key, "value"), "value", ["n_nationkey"])

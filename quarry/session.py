@@ -78,6 +78,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quarry-tables/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that ``release_scratch`` deletes with the other scratch tables."""
+    path = scratch_path(spark, name)
+    _SCRATCH.append(path)
+    return path
+
+
 _SCRATCH: list[str] = []
 _TABLES: dict[str, str] = {}  # path → catalog name of the bucketed ones
 

@@ -1,3 +1,7 @@
+import itertools
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +65,81 @@ def test_components_on_a_long_path(spark):
     nodes = spark.range(n).select(F.col("id").alias("node"))
     comps = G.connected_components(edges, nodes)
     assert comps.select("component").distinct().collect()[0].component == 0
+
+
+def adjacency(edges):
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    return near
+
+
+def random_edges(seed, n, p):
+    rnd = random.Random(seed)
+    return [(a, b) for a in range(n) for b in range(a + 1, n) if rnd.random() < (0.95 if a == 0 else p)]
+
+
+def plain_cycles(edges, most):
+    """Every simple cycle from its smallest node, by depth-first search."""
+    near, out = adjacency(edges), []
+
+    def walk(path):
+        for x in near[path[-1]]:
+            if x == path[0] and len(path) > 2 and path[1] < path[-1]:
+                out.append(tuple(path))
+            if x > path[0] and x not in path and len(path) < most:
+                walk([*path, x])
+
+    for s in near:
+        walk([s])
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, n, p, most", [(1, 9, 0.5, 6), (4, 30, 0.05, 7)])
+def test_simple_cycles_of_any_bounded_length(spark, seed, n, p, most):
+    edges = random_edges(seed, n, p)
+    got = G.simple_cycles(spark.createDataFrame(edges, "src long, dst long"), most).collect()
+    assert sorted(tuple(r.cycle) for r in got) == plain_cycles(edges, most)
+    assert all(r.length == len(r.cycle) for r in got)
+
+
+def test_cycles_agree_with_the_triangles_and_need_three_edges(spark):
+    edges, _ = frames(spark, "tri_square_isolated")
+    assert sorted(r.length for r in G.simple_cycles(edges, 6).collect()) == [3, 4]
+    assert G.simple_cycles(edges.limit(0), 6).count() == 0
+    with pytest.raises(ValueError):
+        G.simple_cycles(edges, 2)
+
+
+def plain_bowties(edges):
+    near = adjacency(edges)
+    tri, bow = Counter(), Counter()
+    for c, ns in near.items():
+        link = [(a, b) for a, b in itertools.combinations(sorted(ns), 2) if b in near[a]]
+        tri[c] = len(link)
+        for (a, b), (x, y) in itertools.combinations(link, 2):
+            bow[c] += len({a, b, x, y}) == 4 and not (near[a] | near[b]) & {x, y}
+    return {c: (tri[c], bow[c]) for c in near if tri[c]}
+
+
+@pytest.mark.parametrize("seed, n, p", [(1, 14, 0.4), (3, 10, 0.8)])
+def test_bowties_are_counted_without_a_list(spark, seed, n, p):
+    edges = random_edges(seed, n, p)
+    frame = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.center: (r.n_triangles, r.n_bowties) for r in G.bowtie_counts(frame).collect()}
+    assert got == plain_bowties(edges)
+    assert sum(b for _, b in got.values()) == G.bowties(frame).count()
+
+
+def test_no_triangles_no_bowties(spark):
+    edges, _ = frames(spark, "two_squares")
+    assert G.bowtie_counts(edges).count() == 0
+
+
+def test_a_hub_pairs_no_triangles(spark):
+    """A wheel of many separate triangles around one node: the count needs no pair of them."""
+    k = 3000
+    edges = [(0, i) for i in range(1, 2 * k + 1)] + [(i, i + 1) for i in range(1, 2 * k, 2)]
+    row = G.bowtie_counts(spark.createDataFrame(edges, "src long, dst long")).where("center = 0").first()
+    assert (row.n_triangles, row.n_bowties) == (k, k * (k - 1) // 2)
