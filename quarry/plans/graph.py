@@ -17,14 +17,18 @@ SPARSE_MIN_WEIGHT = 2  # edges seen in at least two orders: many small component
 
 
 def part_edges(t, min_weight: int = 1):
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return line_edges(t.lineitem).where(F.col("weight") >= min_weight)
+
+
+def line_edges(lines):
+    """(src, dst, weight) between the parts of consecutive lines of an order."""
+    li = lines.select("l_orderkey", "l_linenumber", "l_partkey")
     a = li.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("a"))
     b = li.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("b"))
     pairs = a.join(b, ["l_orderkey", "l_linenumber"]).where(F.col("a") != F.col("b"))
     e = pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "l_orderkey")
     # weight = number of distinct orders holding the adjacency
-    w = e.groupBy("src", "dst").agg(F.count_distinct("l_orderkey").alias("weight"))
-    return w.where(F.col("weight") >= min_weight)
+    return e.groupBy("src", "dst").agg(F.count_distinct("l_orderkey").alias("weight"))
 
 
 def part_nodes(t):
@@ -125,8 +129,10 @@ MAX_CYCLE = 6
 
 @register(
     "graph_cycles_le6",
-    f"""WITH RECURSIVE {EDGES_SQL},
-    sp AS (SELECT src, dst FROM pe WHERE weight >= {SPARSE_MIN_WEIGHT}),
+    f"""WITH RECURSIVE sp AS (
+        SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS src, greatest(a.l_partkey, b.l_partkey) AS dst
+        FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
+        WHERE a.l_partkey <> b.l_partkey AND a.l_returnflag = 'R' AND b.l_returnflag = 'R'),
     sd AS (SELECT src, dst FROM sp UNION ALL SELECT dst, src FROM sp),
     walk(s, path) AS (SELECT src, [src, dst] FROM sd WHERE dst > src UNION ALL
                       SELECT s, list_append(path, sd.dst) FROM walk JOIN sd ON sd.src = path[-1] WHERE len(path) < {MAX_CYCLE} AND sd.dst > s AND NOT list_contains(path, sd.dst)),
@@ -134,9 +140,11 @@ MAX_CYCLE = 6
     SELECT CAST(len(path) AS INTEGER) AS length, array_to_string(list_sort(path), ',') AS nodes, count(*) AS n_cycles FROM c GROUP BY 1, 2""",
 )
 def graph_cycles_le6(spark, sf):
-    """G6 with the length bound 6, on the edges seen in at least two orders: node sets of
-    simple cycles, and how many cycles run through each set."""
-    found = G.simple_cycles(part_edges(Tables(spark, sf), SPARSE_MIN_WEIGHT), MAX_CYCLE)
+    """G6 with the length bound 6, on the graph of parts returned together (consecutive lines
+    of an order, both returned): node sets of simple cycles, and how many cycles run through
+    each set."""
+    returned = Tables(spark, sf).lineitem.where(F.col("l_returnflag") == "R")
+    found = G.simple_cycles(line_edges(returned), MAX_CYCLE)
     nodes = F.array_join(F.array_sort("cycle").cast("array<string>"), ",")
     return found.groupBy("length", nodes.alias("nodes")).agg(F.count(F.lit(1)).alias("n_cycles"))
 
