@@ -7,8 +7,11 @@ as Spark joins.  A class that holds an explicitly allowed url allows its other m
 else one that holds a blocked url blocks them; else they are allowed.  Urls that are only
 targets, and never pages, take part too.
 
-Two urls are one node if they agree in host (lower case), path and query; scheme and
-fragment do not count, and an empty path is ``/``.
+Two urls are one node if they agree in host (lower case, without the scheme's default port),
+path and query, after dot segments are resolved, percent-encoded unreserved characters are
+decoded and other escapes are in upper case.  Scheme and fragment do not count, and an empty
+path is ``/``.  A class's explicit verdicts come from all pages of its nodes, in whatever way
+their urls are written, and from the ends of its links.
 
 Defined cases
 * null urls and urls without ``://``: empty host and path, no rule, no node: allowed.
@@ -44,11 +47,38 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), "://[^/?#]*([^?#]*)", 1)
 
 
+def unescaped(text: Column) -> Column:
+    """Percent-encoded letters, digits, ``-._~`` decoded; other escapes in upper case."""
+    def piece(x, i):
+        code = F.left(x, F.lit(2))
+        char = F.char(F.conv(code, 16, 10).cast("int"))
+        put = F.when(char.rlike("^[A-Za-z0-9._~-]$"), char).otherwise(F.concat(F.lit("%"), F.upper(code)))
+        return F.when(i == 0, x).when(x.rlike("^[0-9A-Fa-f]{2}"), F.concat(put, F.substring(x, F.lit(3), F.char_length(x)))).otherwise(F.concat(F.lit("%"), x))
+
+    return F.when(text.contains("%"), F.array_join(F.transform(F.split(text, "%"), piece), "")).otherwise(text)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with ``/``, its ``.`` and ``..`` segments resolved."""
+    parts = F.split(F.substring(path, F.lit(2), F.char_length(path)), "/")
+    dots = lambda x: x.isin(".", "..")
+
+    def walk(kept, x):
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(x == ".", kept).when(x == "..", up).otherwise(F.concat(kept, F.array(x)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), walk)
+    kept = F.when(dots(F.element_at(parts, -1)), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike("/\\.{1,2}(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
     """Identity of a url among aliases; null without a host."""
-    host, path = host_of(url), path_of(url)
-    query = F.regexp_extract(url, "://[^?#]*(\\?[^#]*)?", 1)
-    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), query))
+    scheme = F.lower(F.regexp_extract(url, "^([^:/?#]*)://", 1))
+    port = F.when(scheme == "http", ":(80)?$").when(scheme == "https", ":(443)?$").otherwise(":$")
+    host, path = F.regexp_replace(host_of(url), port, F.lit("")), unescaped(path_of(url))
+    query = unescaped(F.regexp_extract(url, "://[^?#]*(\\?[^#]*)?", 1))
+    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(without_dots(path)), query))
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -63,7 +93,7 @@ def targets(html: Column) -> Column:
     canonical = F.filter(links, lambda t: attribute(t, "rel").rlike("(?i)(^|\\s)canonical(\\s|$)"))
     metas = F.regexp_extract_all(html, F.lit("(?i)(<meta\\b[^>]*>)"), F.lit(1))
     refresh = F.filter(metas, lambda t: F.lower(attribute(t, "http-equiv")) == "refresh")
-    moved = F.transform(refresh, lambda t: F.trim(F.regexp_extract(attribute(t, "content"), "(?i);\\s*url\\s*=\\s*[\"']?([^\"']+)", 1)))
+    moved = F.transform(refresh, lambda t: F.trim(F.regexp_extract(attribute(t, "content"), "(?i)^[\\s0-9.]*[;,\\s]\\s*(?:url\\s*=\\s*)?[\"']?([^\"']+)", 1)))
     both = F.concat(F.transform(canonical, lambda t: attribute(t, "href")), moved)
     return F.transform(F.filter(both, lambda u: u != ""), lambda u: F.replace(u, F.lit("&amp;"), F.lit("&")))
 
@@ -111,7 +141,9 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, via) for every page; via tells where the
     verdict comes from: rule, alias or default."""
     links = materialize(edges_of(pages.select("url", "html")).distinct(), "url-edges")
-    ends = links.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("src_url").alias("url")), F.struct(F.col("dst").alias("node"), F.col("dst_url").alias("url")))).alias("e")).select("e.*").distinct()
+    ends = links.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("src_url").alias("url")), F.struct(F.col("dst").alias("node"), F.col("dst_url").alias("url")))).alias("e")).select("e.*")
+    named = pages.where(F.col("url").contains("://")).select(node_of(F.col("url")).alias("node"), "url").distinct()
+    ends = ends.unionByName(named.join(ends.select("node").distinct(), "node", "left_semi")).distinct()
     groups = connected_components(links.select("src", "dst"), ends.select("node"))
     explicit = ends.join(match_rules(ends, rules), "url").select("node", "verdict")
     decided = groups.join(explicit, "node").groupBy("component").agg(F.max((F.col("verdict") == ALLOW).cast("int")).alias("allowed"))
@@ -119,7 +151,10 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
     url = F.col("url")
     rows = pages.select("page_id", url, host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node"))
-    rows = rows.join(match_rules(rows, rules), "url", "left").join(inherited, "node", "left")
+    # rows without a node meet nobody: they stay out of the joins, however many there are
+    apart = rows.where(F.col("node").isNull()).select("*", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"), F.lit(None).cast("string").alias("inherited"))
+    met = rows.where(F.col("node").isNotNull()).join(match_rules(rows, rules), "url", "left").join(inherited, "node", "left")
+    rows = met.unionByName(apart)
     via = F.when(F.col("rule").isNotNull(), "rule").when(F.col("inherited").isNotNull(), "alias").otherwise("default")
     return rows.select("page_id", "url", "host", "path", "rule", F.coalesce("verdict", "inherited", F.lit(ALLOW)).alias("verdict"), via.alias("via"))
 

@@ -89,12 +89,46 @@ def test_urls(spark):
         assert (r.rule, r.via == "rule") == (max(fits, key=lambda x: len(x[0]))[0] if fits else None, bool(fits))
         if fits:
             assert r.verdict == max(fits, key=lambda x: len(x[0]))[1]
+    assert got[None, "http://clean.info/d/e"].verdict == "block"  # its canonical ../c is blocked page 10
     alias = {k[0]: (r.verdict, r.via) for k, r in got.items() if r.rule is None and k[0]}
     assert alias[9] == ("block", "alias") and alias[10] == ("block", "alias") and alias[14] == ("block", "alias")
     assert alias[12] == ("allow", "alias")  # x.org/fr is allowed explicitly, blocked.net is not: allow comes first
     assert alias[13] == ("allow", "default") and alias[5] == ("allow", "default") and alias[17] == ("allow", "default") and alias[6] == ("allow", "default")
 
 
+LINKED = [
+    ("http://a.example.com/de/x.html", None), ("http://foo.net/", None),
+    ("http://m1.com/p/a.html", '<link rel="canonical" href="http://a.example.com/de/../de/./x.html">'), ("http://m2.com/z", '<link rel="canonical" href="http://a.example.com:80/de/x.html">'),
+    ("http://m3.com/", '<link rel="canonical" href="http://a.example.com/%64e/x.html">'), ("http://m4.com/1", '<meta http-equiv="refresh" content="0,url=http://foo.net">'),
+    ("http://m5.com/1", '<meta http-equiv="refresh" content="0; http://m4.com/1">'), ("https://m6.com:443/q/r.html", '<link rel="canonical" href="./s.html">'),
+    ("https://m6.com/q/s.html", '<link rel="canonical" href="../../../../m7">'), ("http://m6.com/m7", '<link rel="canonical" href="//foo.net/">'),
+    ("http://foo.net", '<link rel="canonical" href="http://mir2.com/x">'), ("http://mir2.com:/x#part", None), ("http://m8.com/a%2fb", '<link rel="canonical" href="http://foo.net/.">'),
+    ("http://m8.com/a%2Fb", None), ("http://m9.com/..", '<link rel="canonical" href="http://foo.net/x/..">'),
+]
+NOT_LINKED = [("https://m2.com:80/z", None), ("http://m8.com/a/b", None), ("http://m3.com:8080/", None), ("http://free.com/%zz%", '<meta http-equiv="refresh" content="30">'), ("http://m1.com/p/A.html", None)]
+
+
+def test_urls_that_are_written_differently_share_a_verdict(spark):
+    rows = [(i, u, h) for i, (u, h) in enumerate(LINKED + NOT_LINKED)] + [(None, u, None) for u, _ in LINKED] + [(None, None, None)] * 3
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = urls.judge(frame, urls.rule_table(spark)).collect()
+    assert len(got) == len(rows)
+    verdicts = {}
+    for r in got:
+        verdicts.setdefault(r.url, set()).add(r.verdict)
+    assert {u: verdicts[u] for u, _ in LINKED} == {u: {"block"} for u, _ in LINKED}
+    assert {u: verdicts[u] for u, _ in NOT_LINKED} == {u: {"allow"} for u, _ in NOT_LINKED} and verdicts[None] == {"allow"}
+
+
+def test_dot_segments_and_escapes(spark):
+    paths = {"/a/b/../c": "/a/c", "/a/./b/.": "/a/b/", "/../x": "/x", "/a/..": "/", "/a/b/..": "/a/", "/..a/.b./c": "/..a/.b./c", "//x/../y": "//y", "/": "/", "/a//b": "/a//b"}
+    frame = spark.createDataFrame(list(paths.items()), "p string, want string")
+    assert all(r.got == r.want for r in frame.select("want", urls.without_dots(F.col("p")).alias("got")).collect())
+    texts = {"/%7euser%2f%2F%e4": "/~user%2F%2F%E4", "100%": "100%", "%4": "%4", "%zz%41": "%zzA", "a": "a", "": ""}
+    frame = spark.createDataFrame(list(texts.items()), "p string, want string")
+    assert all(r.got == r.want for r in frame.select("want", urls.unescaped(F.col("p")).alias("got")).collect())
+
+
 def test_urls_empty(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge(none, urls.rule_table(spark)).count() == 0
