@@ -57,29 +57,30 @@ def period(weights: dict[str, int]) -> list[tuple[str, int]]:
     return out
 
 
-def rank_in_stream(docs: DataFrame, weights: dict[str, int], digits: int = BUCKET_DIGITS) -> DataFrame:
+def rank_in_stream(docs: DataFrame, weights: dict[str, int], digits: int = BUCKET_DIGITS, columns: list[str] | None = None) -> DataFrame:
     """(row, stream, rank): rank counts a stream's rows from 0 in the order of a hash of
-    doc_id, then doc_id, then a hash of the text.
+    doc_id, then doc_id, then a hash of the text.  ``row`` holds ``columns`` (all by default);
+    a text that is not among them is hashed where it is read and not sent.
 
     Rows are ranked inside (stream, leading hash digits), which splits a hot source into
     16^digits parts; the offsets of the parts come from their counts, at most
     16^digits numbers per stream."""
-    known = F.col("row.source").isin(*[s for s in weights if s != OTHER])
-    stream = F.when(known, F.col("row.source")).otherwise(F.lit(OTHER))
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    rows = rows.select("row", stream.alias("stream"), F.md5(F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))).alias("h"))
-    rows = rows.withColumn("part", F.substring("h", 1, digits))
+    stream = F.when(docs["source"].isin(*[s for s in weights if s != OTHER]), docs["source"]).otherwise(F.lit(OTHER))
+    h = F.md5(F.coalesce(docs["doc_id"].cast("string"), F.lit("")))
+    rows = docs.select(
+        F.struct(*(docs[c] for c in columns or docs.columns)).alias("row"), stream.alias("stream"), h.alias("h"),
+        docs["doc_id"].alias("id"), F.md5(docs["text"].cast("string")).alias("t"), F.substring(h, 1, digits).alias("part"),
+    )
     counts = rows.groupBy("stream", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("stream").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("stream", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    text = F.col("row.text").cast("string")
-    order = Window.partitionBy("stream", "part").orderBy("h", F.col("row.doc_id").asc_nulls_first(), F.md5(text).asc_nulls_first())
+    order = Window.partitionBy("stream", "part").orderBy("h", F.col("id").asc_nulls_first(), F.col("t").asc_nulls_first())
     local = rows.withColumn("local", F.row_number().over(order) - 1)
     return local.join(offsets, ["stream", "part"]).select("row", "stream", (F.col("offset") + F.col("local")).alias("rank"))
 
 
-def mix(docs: DataFrame, weights: dict[str, int], block_rows: int = BLOCK_ROWS, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """All rows of ``docs`` as ``row``, with (stream, block, slot, place): the block within
+def mix(docs: DataFrame, weights: dict[str, int], block_rows: int = BLOCK_ROWS, digits: int = BUCKET_DIGITS, columns: list[str] | None = None) -> DataFrame:
+    """All rows of ``docs`` as ``row`` (its ``columns``; all by default), with (stream, block, slot, place): the block within
     the stream, the slot it is scheduled in, and the row's place in the mixture, which
     orders all rows (places of streams that have run out stay empty)."""
     weights = {**weights, OTHER: weights.get(OTHER, 1)}
@@ -87,7 +88,7 @@ def mix(docs: DataFrame, weights: dict[str, int], block_rows: int = BLOCK_ROWS,
     for slot, (s, _) in enumerate(period(weights)):
         places[s].append(slot)
     total = sum(weights.values())
-    ranked = rank_in_stream(docs, weights, digits)
+    ranked = rank_in_stream(docs, weights, digits, columns)
     # one slot array per source, chosen by the row's stream: sized by the weights alone
     arrays = None
     for s, slots in places.items():
