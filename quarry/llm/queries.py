@@ -16,8 +16,8 @@ PII_KEY = "a key for tests only"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Target weights of the mixture, in parts; sources without an entry share OTHER.
-MIX_WEIGHTS = {"src0": 6, "src1": 3, "src2": 3, "src3": 2, "src4": 2, mixing.OTHER: 16}
+# Target weights of the mixture, in parts, one for each source; unknown sources share OTHER.
+MIX_WEIGHTS = {"src0": 4, **{f"src{i}": 3 for i in range(1, 5)}, **{f"src{i}": 2 for i in range(5, 20)}, mixing.OTHER: 1}
 
 
 def query(name: str, oracle: str | None = None):
@@ -67,7 +67,7 @@ def op1_substring_dedup(spark, sf):
 
 @query("op2_source_mixing", mixture_oracle(MIX_WEIGHTS, mixing.BLOCK_ROWS))
 def op2_source_mixing(spark, sf):
-    mixed = mixing.mix(table(spark, sf, "documents"), MIX_WEIGHTS)
+    mixed = mixing.mix(table(spark, sf, "documents"), MIX_WEIGHTS, columns=["doc_id", "source"])
     return mixed.select("row.doc_id", "row.source", "stream", "block", "slot", "place")
 
 
