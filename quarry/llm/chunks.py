@@ -80,13 +80,16 @@ def chunk_table(docs: DataFrame, columns: list, chunk_bytes: int = CHUNK_BYTES)
     is kept as null.  ``size`` is the bytes of text, and one for each row.
 
     The chunk number names the partition and the place in it; the table is stored before
-    anyone reads the number, so a task that runs again changes nothing."""
+    anyone reads the number, so a task that runs again changes nothing.  There is a bucket for
+    each chunk up to the session's bound on buckets; beyond it a task reads several chunks,
+    one after the other."""
     spark = docs.sparkSession
     ship_package(spark)
     frame = docs.select(*columns)
     names = frame.columns
     size = docs.agg(F.coalesce(F.sum(F.octet_length(columns[-1])), F.lit(0))).first()[0]
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // chunk_bytes))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = min(most, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // chunk_bytes)))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number = TaskContext.get().partitionId() << 32, 0
