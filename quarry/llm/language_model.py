@@ -38,6 +38,7 @@ SEP = separators(WHITE)
 END, START = np.uint64(0xE5D0F00DCAFE0001), np.uint64(0x57A27000BEEF0003)
 ADD = 0.1                 # additive constant of the base score
 STEPS = 8                 # estimates are kept in 1/STEPS octaves for the weights
+STILL = 1e-7              # of a token's log-likelihood, by which a round of EM must gain
 OCTAVES = 126             # that are told apart below 1
 BUCKETS = 16
 
@@ -170,8 +171,8 @@ def steps(p: np.ndarray) -> np.ndarray:
 
 
 def shares(cell: np.ndarray, n: np.ndarray, weights: np.ndarray, floor: float, per_octave: int) -> np.ndarray:
-    """Tokens that ``weights`` give to floor, unigram, bigram and trigram, by bucket; the
-    cells' estimates are in 1/per_octave octaves."""
+    """Tokens that ``weights`` give to floor, unigram, bigram and trigram, by bucket, and at
+    the end the tokens' log-likelihood; the cells' estimates are in 1/per_octave octaves."""
     width = bits(per_octave)
     bucket = cell >> (ORDER * width)
     p = [np.full(len(cell), floor)]
@@ -179,14 +180,17 @@ def shares(cell: np.ndarray, n: np.ndarray, weights: np.ndarray, floor: float, p
         s = cell >> (width * order) & (1 << width) - 1
         p.append(np.where(s > 0, 2.0 ** (-(s - 1) / per_octave), 0))
     part = weights[bucket] * np.stack(p, axis=1)
-    part *= (n / part.sum(axis=1))[:, None]
-    return np.stack([np.bincount(bucket, part[:, k], 2 * BUCKETS) for k in range(ORDER + 1)], axis=1)
+    total = part.sum(axis=1)
+    part *= (n / total)[:, None]
+    given = np.stack([np.bincount(bucket, part[:, k], 2 * BUCKETS) for k in range(ORDER + 1)], axis=1)
+    return np.append(given.ravel(), n @ np.log(total))
 
 
 def learn_weights(cells: list[tuple[int, int]] | DataFrame, floor: float, rounds: int = 60, per_octave: int = 1) -> np.ndarray:
-    """Weights (floor, unigram, bigram, trigram) by bucket, from (cell, tokens), by EM.  Of a
-    stored table only the sums of its partitions come to the driver in each round."""
-    weights = np.full((2 * BUCKETS, ORDER + 1), 1 / (ORDER + 1))
+    """Weights (floor, unigram, bigram, trigram) by bucket, from (cell, tokens), by EM, until the
+    likelihood of a token stands still (it gains less than STILL).  Of a stored table only
+    the sums of its partitions come to the driver in each round."""
+    weights, last = np.full((2 * BUCKETS, ORDER + 1), 1 / (ORDER + 1)), -np.inf
     if isinstance(cells, list):
         cell, n = np.array(cells, np.int64).reshape(-1, 2).T
     for _ in range(rounds):
@@ -194,16 +198,20 @@ def learn_weights(cells: list[tuple[int, int]] | DataFrame, floor: float, rounds
             sums = shares(cell, n, weights, floor, per_octave)
         else:
             def part(batches, weights=weights):
-                sums = np.zeros_like(weights)
+                sums = np.zeros(weights.size + 1)
                 for b in batches:
                     sums += shares(b.column(0).to_numpy(), b.column(1).to_numpy(), weights, floor, per_octave)
-                yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))})
+                yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.tolist()], pa.list_(pa.float64()))})
 
             found = [r.sums for r in cells.mapInArrow(part, "sums array<double>").collect()]
-            sums = np.array(found).reshape(-1, *weights.shape).sum(axis=0)
+            sums = np.array(found).reshape(-1, weights.size + 1).sum(axis=0)
+        likelihood, tokens = sums[-1], sums[:-1].sum()
         # half a token of each estimate keeps every weight above zero
-        sums = sums + 0.5
+        sums = sums[:-1].reshape(weights.shape) + 0.5
         weights = sums / sums.sum(axis=1, keepdims=True)
+        if likelihood - last <= STILL * tokens:
+            break
+        last = likelihood
     return weights
 
 

@@ -228,18 +228,21 @@ def test_language_model_scores_as_a_plain_model(docs, rows):
 
 
 def test_weights_recover_a_mixture():
-    """EM finds the weights that data of a known mixture was drawn with."""
-    rnd = np.random.default_rng(5)
+    """EM finds the weights of the mixture whose expected counts it is given."""
     true = np.array([0.05, 0.25, 0.3, 0.4])
-    floor = 2.0**-10
-    cells = Counter()
-    for _ in range(40000):
-        s = [int(x) for x in rnd.integers(1, 10, 3)]
-        p = true @ np.array([floor, *(2.0 ** (-(x - 1)) for x in s)])
-        if rnd.random() < p:
-            cells[(3 << 21) | s[0] | s[1] << 7 | s[2] << 14] += 1
-    w = language_model.learn_weights(list(cells.items()), floor)
-    assert np.allclose(w.sum(axis=1), 1) and w[3, 1:].min() > 0.05
+    steps = np.array([1, 2, 3, 4, 5, 6, 7, 7])  # a word's probability is 2^-step
+    orders = [steps, np.roll(steps, 3), steps[::-1]]
+    floor, cells = 1 / 8, []
+    for word in range(8):
+        s = [int(o[word]) for o in orders]
+        p = true @ np.array([floor, *(2.0**-x for x in s)])
+        cells.append(((3 << 21) | sum((x + 1) << (7 * k) for k, x in enumerate(s)), int(1e7 * p)))
+    w = language_model.learn_weights(cells, floor, rounds=5000)
+    assert np.allclose(w.sum(axis=1), 1) and np.abs(w[3] - true).max() < 0.02
+    assert np.allclose(w[2], 0.25)  # no token has that context
+    few = language_model.learn_weights(cells, floor, rounds=1)
+    assert np.abs(few[3] - true).max() > np.abs(w[3] - true).max()
+    assert np.allclose(language_model.learn_weights([], floor), 0.25)
 
 
 def test_mixing(docs, rows):
