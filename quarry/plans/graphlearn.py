@@ -35,7 +35,7 @@ def _vec_edges(t):
 
 
 def _feats(t):
-    return GL.to_long(t.embeddings, "vec_id", "embedding")
+    return GL.feature_vectors(t.embeddings, "vec_id", "embedding")
 
 
 VEC_SQL = f"""{EDGES_SQL},
@@ -85,7 +85,7 @@ def link_negative_sample(spark, sf):
 def graph_feature_propagation(spark, sf):
     """Two layers of neighbour-mean aggregation (no training)."""
     t = Tables(spark, sf)
-    h = GL.propagate_mean(_vec_edges(t), _feats(t), LAYERS)
+    h = GL.vectors_to_long(GL.propagate_mean(_vec_edges(t), _feats(t), LAYERS))
     return h.select("node", "dim", F.round("value", R).alias("value"))
 
 
@@ -103,7 +103,7 @@ def graph_feature_propagation(spark, sf):
 def graph_feature_propagation_gcn(spark, sf):
     """N6, GCN form: symmetric degree normalisation with self loops, two layers."""
     t = Tables(spark, sf)
-    h = GL.propagate_gcn(_vec_edges(t), _feats(t), LAYERS)
+    h = GL.vectors_to_long(GL.propagate_gcn(_vec_edges(t), _feats(t), LAYERS))
     return h.select("node", "dim", F.round("value", R).alias("value"))
 
 
@@ -308,11 +308,5 @@ def ml_metrics_multiclass(spark, sf):
     """Weighted multi-class metrics of a nearest-centroid rule (class whose
     train-side mean vector has the largest dot product)."""
     e = Tables(spark, sf).embeddings.withColumn("split", FE.hash_split(F.col("vec_id")))
-    fl = GL.to_long(e, "vec_id", "embedding")
-    meta = e.select(F.col("vec_id").alias("node"), "label", "split")
-    fl = fl.join(meta, "node")
-    # one row per (class, dim); AQE broadcasts it when the measured size is small
-    cent = fl.where(F.col("split") == "train").groupBy(F.col("label").alias("c"), "dim").agg(F.avg("value").alias("m"))
-    sc = fl.where(F.col("split") == "test").join(cent, "dim").groupBy("node", "label", "c").agg(F.sum(F.col("value") * F.col("m")).alias("s"))
-    pred = sc.groupBy("node", "label").agg(F.max_by("c", "s").alias("prediction"))
+    pred = GL.nearest_centroid(e.where(F.col("split") == "train"), e.where(F.col("split") == "test"), "embedding")
     return EV.multiclass_metrics(pred)
