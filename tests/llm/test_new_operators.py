@@ -194,7 +194,7 @@ def spelling_rows(seed):
     rows = []
     for i in range(-20, 120):
         rows.append((i, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 80))) + "-" + "wolkenbruch" * (i % 3)))
-    rows += [(i, "schreibung " * 40 + "schreibun schreibunh") for i in (500, 501)] + [(502, "schreibunhh schreibunhh")]
+    rows += [(i, "schreibung " * 250 + "schreibungs " * 16 + "schreibungsx") for i in range(500, 504)]  # a chain of forms
     rows += [(900 + k, w + " " + w) for k, w in enumerate(base[-12:])]
     rows += [rows[3], rows[3], (7, None), (8, ""), (None, "schreibung SCHREIBUNG straßen straßen"), (None, None), (9, "ßtraßen × ÷ 漢字 İstanbul Wörter1Wörter2 " * 2), (10, "lang" * 30000 + " " + "lang" * 30000)]
     return rows
