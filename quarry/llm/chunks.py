@@ -3,11 +3,16 @@
 A chunk is a few MB of documents as one compressed row.  The chunk table is stored once,
 bucketed by chunk, so each later pass reads it in place: only keys and answers move.
 
-Keys of a chunk (64-bit hashes of windows or n-grams) are dealt by value to slabs.  For
-every slab a chunk sends one row: its distinct keys there, sorted and packed, and a number
-for each.  A slab's rows meet in one task, whose size is set by the slab count; the answer
-to a chunk is aligned with the keys it sent, which the chunk can list again, so answers
-carry no keys.  A key that is hot occurs once per chunk."""
+Keys of a chunk (64-bit hashes of windows or n-grams) are dealt by value to slabs.  A slab's
+keys meet in one task, whose size is set by the slab count; an answer is aligned with the
+keys a chunk sent, which the chunk can list again, so answers carry no keys.  A key that is
+hot occurs once per chunk.
+
+Both the chunks and the slabs grow with the corpus, so a chunk does not send a row to every
+slab: it sends one to each of at most ``REGIONS`` regions, ranges of slabs.  Where a region
+is more than one slab, a relay task takes a region's keys of one pack of ``REGIONS`` chunks,
+about as many as a chunk has, and sends them on, a row for each slab; answers go back the
+same way.  A chunk's share of rows is then REGIONS + slabs / REGIONS at most, each way."""
 
 from __future__ import annotations
 
@@ -24,29 +29,33 @@ from pyspark.sql import functions as F
 from quarry.session import materialize_bucketed, ship_package
 
 CHUNK_BYTES = 4 << 20
+REGIONS = 1 << 14         # rows a chunk sends at most
+BITS, DIFFERENCES = 0x20, 0x10  # forms of packed integers
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Unsigned integers, byte plane by byte plane, compressed."""
-    planes = np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T
+    """Unsigned integers, compressed: bits where all are 0 or 1, else byte plane by byte
+    plane, as differences where they increase."""
+    values = np.ascontiguousarray(values, np.uint64)
+    if not len(values) or values.max() <= 1:
+        return bytes([BITS]) + zstandard.ZstdCompressor(level=1).compress(np.packbits(values.astype(np.uint8)).tobytes())
+    form = DIFFERENCES if (values[1:] >= values[:-1]).all() else 0
+    if form:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = values.view(np.uint8).reshape(-1, 8).T
     used = int(np.flatnonzero(planes.any(axis=1)).max(initial=-1)) + 1
-    return bytes([used]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes[:used]).tobytes())
+    return bytes([form | used]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes[:used]).tobytes())
 
 
 def unpack(blob: bytes, n: int) -> np.ndarray:
+    form, raw = blob[0], np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8)
+    if form == BITS:
+        return np.unpackbits(raw, count=n).astype(np.uint64)
+    used = form & ~DIFFERENCES
     out = np.zeros((8, n), np.uint8)
-    used = blob[0]
-    if used and n:
-        out[:used] = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8).reshape(used, n)
-    return np.ascontiguousarray(out.T).view(np.uint64).reshape(-1)
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    return pack(np.diff(values, prepend=np.uint64(0)))
-
-
-def unpack_sorted(blob: bytes, n: int) -> np.ndarray:
-    return np.cumsum(unpack(blob, n), dtype=np.uint64)
+    out[:used] = raw.reshape(used, n)
+    values = np.ascontiguousarray(out.T).view(np.uint64).reshape(-1)
+    return np.cumsum(values, dtype=np.uint64) if form & DIFFERENCES else values
 
 
 def slab_of(keys: np.ndarray, slabs: int) -> np.ndarray:
@@ -54,12 +63,12 @@ def slab_of(keys: np.ndarray, slabs: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(slabs)) >> np.uint64(32)
 
 
-def slab_ranges(sorted_keys: np.ndarray, slabs: int) -> Iterator[tuple[int, int, int]]:
-    """(slab, begin, end) of the non-empty slabs of a sorted key array."""
-    s = slab_of(sorted_keys, slabs)
-    cuts = np.flatnonzero(np.diff(s, prepend=np.uint64(slabs + 1))) if len(s) else np.zeros(0, int)
-    for a, b in zip(cuts, [*cuts[1:], len(s)]):
-        yield int(s[a]), int(a), int(b)
+def runs(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, begin, end) of the runs of equal values."""
+    n = len(sorted_values)
+    cuts = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if n else np.zeros(0, int)
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), n]):
+        yield int(sorted_values[a]), a, b
 
 
 def encode(columns: dict[str, pa.Array]) -> bytes:
@@ -119,47 +128,89 @@ def chunk_table(docs: DataFrame, columns: list, chunk_bytes: int = CHUNK_BYTES)
     return materialize_bucketed(rows, "chunks", "chunk", buckets)
 
 
-def ask(chunks: DataFrame, question: Callable, reply: Callable, sent: str, returned: str) -> DataFrame:
-    """(chunk, answers): what ``reply`` says to each chunk, one array per chunk.
+ARROW = {"place": pa.int64(), "source": pa.int64(), "n": pa.int64(), "side": pa.binary(), "sums": pa.list_(pa.int64())}
+
 
-    question(row) yields (slab, values...) for one row of ``chunks`` (a dict);
-    reply(slab, rows) gets all rows of a slab, [(chunk, values...)], and yields
-    (chunk, values...).  ``sent`` and ``returned`` are the values' column types."""
-    kinds = {k: [p.split()[1] for p in v.split(", ")] for k, v in (("sent", sent), ("returned", returned))}
-    arrow = {"binary": pa.binary(), "long": pa.int64(), "int": pa.int32()}
-    sent_names = [p.split()[0] for p in sent.split(", ")]
-    returned_names = [p.split()[0] for p in returned.split(", ")]
+def ask(chunks: DataFrame, question: Callable, reply: Callable, slabs: int, sent: int, returned: int, regions: int = REGIONS) -> DataFrame:
+    """(chunk, answers): what ``reply`` says to each chunk; ``answered`` reads it.
+
+    question(row) takes one row of ``chunks`` (a dict) and yields parts (slab of each key, in
+    order; ``sent`` arrays aligned with it), the slabs rising from part to part.
+    reply(slab, arrays) gets a slab's keys of all chunks, one chunk after the other, and
+    returns (``returned`` arrays aligned with them, numbers), whose sums over all slabs are
+    the sums of ``answers.sums``.
+
+    Rows on the way are (place, source, n, side, values): n keys of a source, a chunk or a
+    pack, at a place, a region or a slab; ``side`` tells the slab of each key on the way from
+    chunk to relay, and its chunk from there to the slab and back."""
+    fan = -(-slabs // regions)
+    out_names, back_names = [f"v{i}" for i in range(sent)], [f"v{i}" for i in range(returned)]
+    schema = lambda names: "place long, source long, n long, side binary" + "".join(f", {v} binary" for v in names)
+
+    def batch_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+        columns = ["place", "source", "n", "side", *names]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], ARROW.get(c, pa.binary())) for i, c in enumerate(columns)], columns)
 
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
-                asked = list(question(row))
-                if asked:
-                    slab, *values = zip(*asked)
-                    yield pa.RecordBatch.from_pydict({
-                        "slab": pa.array(slab, pa.int64()), "chunk": pa.array([row["chunk"]] * len(slab), pa.int64()),
-                        **{n: pa.array(v, arrow[k]) for n, v, k in zip(sent_names, values, kinds["sent"])},
-                    })
-
-    def back(table: pa.Table) -> pa.Table:
-        rows = list(zip(table.column("chunk").to_pylist(), *(table.column(n).to_pylist() for n in sent_names)))
-        said = list(reply(table.column("slab")[0].as_py(), rows))
-        chunk, *values = zip(*said) if said else [[] for _ in range(len(returned_names) + 1)]
-        return pa.table({
-            "chunk": pa.array(chunk, pa.int64()), "slab": pa.array([table.column("slab")[0].as_py()] * len(chunk), pa.int64()),
-            **{n: pa.array(v, arrow[k]) for n, v, k in zip(returned_names, values, kinds["returned"])},
-        })
-
-    asked = chunks.mapInArrow(out, f"slab long, chunk long, {sent}")
-    replies = asked.groupBy("slab").applyInArrow(back, f"chunk long, slab long, {returned}")
-    return replies.groupBy("chunk").agg(F.collect_list(F.struct("slab", *returned_names)).alias("answers"))
+                for slab, arrays in question(row):
+                    rows = []
+                    for region, a, b in runs(slab // np.uint64(fan)):
+                        side = pack(slab[a:b]) if fan > 1 else None
+                        rows.append((region, row["chunk"], b - a, side, *(pack(x[a:b]) for x in arrays)))
+                    yield batch_of(rows, out_names)
+
+    def arrays_of(table: pa.Table, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        n = table.column("n").to_numpy()
+        return n, [np.concatenate([unpack(v.as_py(), k) for v, k in zip(table.column(c), n)]) for c in names]
+
+    def relay_out(table: pa.Table) -> pa.Table:
+        n, (slab, *arrays) = arrays_of(table, ["side", *out_names])
+        chunk = np.repeat(table.column("source").to_numpy(), n)
+        order = np.lexsort((chunk, slab))
+        number = table.column("pack")[0].as_py()
+        rows = [(s, number, b - a, pack(chunk[order[a:b]]), *(pack(x[order[a:b]]) for x in arrays)) for s, a, b in runs(slab[order])]
+        return pa.Table.from_batches([batch_of(rows, out_names)])
+
+    def answer(table: pa.Table) -> pa.Table:
+        n, arrays = arrays_of(table, out_names)
+        values, numbers = reply(table.column("place")[0].as_py(), arrays)
+        ends = np.cumsum(n)
+        cut = [[pack(x[b - k:b]) for b, k in zip(ends, n)] for x in values]
+        sums = [list(numbers)] + [[0] * len(numbers)] * (len(n) - 1)
+        given = table.select(["place", "source", "n", "side"]).combine_chunks().columns
+        return pa.table([*given, *(pa.array(c, pa.binary()) for c in cut), pa.array(sums, ARROW["sums"])], [*list(ARROW)[:4], *back_names, "sums"])
+
+    def relay_back(table: pa.Table) -> pa.Table:
+        n, (chunk, *arrays) = arrays_of(table, ["side", *back_names])
+        slab = np.repeat(table.column("place").to_numpy(), n)
+        order = np.lexsort((slab, chunk))
+        region = int(slab[0]) // fan
+        rows = [(region, c, b - a, None, *(pack(x[order[a:b]]) for x in arrays)) for c, a, b in runs(chunk[order])]
+        numbers = [sum(x) for x in zip(*table.column("sums").to_pylist())]
+        sums = [numbers] + [[0] * len(numbers)] * (len(rows) - 1)
+        return pa.Table.from_batches([batch_of(rows, back_names)]).append_column("sums", pa.array(sums, ARROW["sums"]))
+
+    asked = chunks.mapInArrow(out, schema(out_names))
+    if fan > 1:
+        packs = -(-chunks.count() // regions)
+        asked = asked.withColumn("pack", F.pmod(F.xxhash64("source"), F.lit(packs)))
+        asked = asked.groupBy("place", "pack").applyInArrow(relay_out, schema(out_names))
+    said = schema(back_names) + ", sums array<long>"
+    replies = asked.groupBy("place").applyInArrow(answer, said)
+    if fan > 1:
+        replies = replies.withColumn("region", F.floor(F.col("place") / fan)).groupBy("region", "source").applyInArrow(relay_back, said)
+    return replies.groupBy(F.col("source").alias("chunk")).agg(F.collect_list(F.struct("place", "n", *back_names, "sums")).alias("answers"))
+
+
+def answered(answers: list[dict] | None, value: int = 0) -> np.ndarray:
+    """A value of the answers to a chunk, aligned with the keys that it sent."""
+    found = [unpack(a[f"v{value}"], a["n"]) for a in sorted(answers or [], key=lambda a: a["place"])]
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     """Rows one at a time, so that one payload is unpacked at a time."""
     for i in range(batch.num_rows):
         yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-
-
-def by_slab(answers: list[dict] | None) -> dict[int, dict]:
-    return {a["slab"]: a for a in answers or []}

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, unpack, unpack_sorted
+from quarry.llm.chunks import CHUNK_BYTES, REGIONS, answered, ask, chunk_table, decode, rows_of, slab_of
 from quarry.llm.words import LOWER, WHITE, Words, blocks, distinct, mix, separators
 from quarry.session import materialize, materialize_bucketed, release
 
@@ -78,16 +78,9 @@ class Tokens:
         yield mix(two * np.uint64(0xC2B2AE3D27D4EB4F) + mix(back2 ^ np.uint64(0x165667B19E3779F9)))
 
 
-def slab_numbers(sorted_keys: np.ndarray, order: int, slabs: int):
-    """(slab, begin, end); every order has slabs of its own."""
-    s = slab_of(sorted_keys, slabs) + np.uint64(order * slabs)
-    cuts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
-    for a, b in zip(cuts, [*cuts[1:], len(s)]):
-        yield int(s[a]), int(a), int(b)
-
-
 def question(payload: bytes, slabs: int):
-    """(slab, n, keys, training counts) of every slab a chunk has n-grams in."""
+    """(slab, (key, training count)) of the n-grams of a chunk; every order has slabs of
+    its own."""
     t = Tokens(payload)
     for order, gram in enumerate(t.grams()):
         low = np.uint64(low_bits(order, slabs))
@@ -96,38 +89,30 @@ def question(payload: bytes, slabs: int):
         seen, count = np.unique(gram[t.trained], return_counts=True)
         counts = np.zeros(len(keys), np.uint64)
         counts[np.searchsorted(keys, seen)] = count
-        for slab, a, b in slab_numbers(keys, order, slabs):
-            yield slab, b - a, pack_sorted(keys[a:b] >> low), pack(counts[a:b])
+        yield slab_of(keys, slabs) + np.uint64(order * slabs), (keys >> low, counts)
 
 
-def reply(slab: int, rows: list[tuple]):
-    """Totals of a slab's n-grams, in the order of each chunk's keys; the first row also
-    carries, of the n-grams seen in training, how many distinct ones there are, how many
-    in all, and how often the end token is among them."""
-    keys = [unpack_sorted(r[2], r[1]) for r in rows]
-    distinct_keys, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(place, np.concatenate([unpack(r[3], r[1]) for r in rows]).astype(np.float64), len(distinct_keys)).astype(np.uint64)
-    seen = (int((total > 0).sum()), int(total.sum()), int(total[distinct_keys == END].sum()))
-    at = 0
-    for i, (chunk, n, _, _) in enumerate(rows):
-        yield chunk, n, pack(total[place[at:at + n]]), *(seen if i == 0 else (0, 0, 0))
-        at += n
+def reply(slab: int, arrays: list[np.ndarray], slabs: int):
+    """Totals of a slab's n-grams; and, of the words seen in training, how many distinct ones
+    there are, how many in all, and how often the end token is among them."""
+    distinct_keys, place = np.unique(arrays[0], return_inverse=True)
+    total = np.bincount(place, arrays[1].astype(np.float64), len(distinct_keys)).astype(np.uint64)
+    seen = (int((total > 0).sum()), int(total.sum()), int(total[distinct_keys == END].sum())) if slab < slabs else (0, 0, 0)
+    return [total[place]], seen
 
 
 class Counted(Tokens):
     """A chunk's tokens with the corpus counts of their n-grams and contexts."""
 
-    def __init__(self, payload: bytes, answers: dict[int, dict], slabs: int, docs: int, tokens: int, deleted: bool):
+    def __init__(self, payload: bytes, totals: np.ndarray, slabs: int, docs: int, tokens: int, deleted: bool):
         super().__init__(payload)
-        self.count = []
+        self.count, at = [], 0
         for order, gram in enumerate(self.grams()):
             low = np.uint64(low_bits(order, slabs))
             gram = gram >> low << low
             keys, place = np.unique(gram, return_inverse=True)
-            total = np.zeros(len(keys), np.float64)
-            for slab, a, b in slab_numbers(keys, order, slabs):
-                total[a:b] = unpack(answers[slab]["totals"], answers[slab]["size"])
-            count = total[place]
+            count = totals[at:at + len(keys)].astype(np.float64)[place]
+            at += len(keys)
             if deleted:
                 count -= self.own(place, len(keys))
             self.count.append(count)
@@ -215,24 +200,21 @@ def learn_weights(cells: list[tuple[int, int]] | DataFrame, floor: float, rounds
     return weights
 
 
-def score(docs: DataFrame, train: Column, chunk_bytes: int = CHUNK_BYTES, slab_keys: int = SLAB_KEYS) -> DataFrame:
+def score(docs: DataFrame, train: Column, chunk_bytes: int = CHUNK_BYTES, slab_keys: int = SLAB_KEYS, regions: int = REGIONS) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every text;
     ``train`` (over doc_id, null is false) chooses the rows that counts are taken from."""
     cols = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col("text").cast("string").alias("text")]
     chunks = chunk_table(docs, cols, chunk_bytes)
     size = chunks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     slabs = max(1, -(-size // (slab_keys * 6)))  # some six bytes of text to a token
-    counted = ask(
-        chunks, lambda row: question(row["payload"], slabs), reply,
-        "n long, keys binary, counts binary", "size long, totals binary, kinds long, seen long, ends long",
-    )
+    counted = ask(chunks, lambda row: question(row["payload"], slabs), lambda slab, arrays: reply(slab, arrays, slabs), ORDER * slabs, 2, 1, regions)
     counted = materialize_bucketed(counted, "counts", "chunk", chunks._buckets)
-    one = counted.select(F.explode("answers").alias("a")).where(F.col("a.slab") < slabs)
-    found = one.agg(*(F.coalesce(F.sum(f"a.{c}"), F.lit(0)).alias(c) for c in ("kinds", "seen", "ends"))).first()
+    one = counted.select(F.explode("answers.sums").alias("s"))
+    found = one.agg(*(F.coalesce(F.sum(F.col("s")[i]), F.lit(0)).alias(c) for i, c in enumerate(("kinds", "seen", "ends")))).first()
     kinds, n_tokens, n_docs = found.kinds, found.seen, found.ends
     floor = 1 / (kinds + 1)
     joined = chunks.join(counted, "chunk")
-    here = lambda row, deleted: Counted(row["payload"], by_slab(row["answers"]), slabs, n_docs, n_tokens, deleted)
+    here = lambda row, deleted: Counted(row["payload"], answered(row["answers"]), slabs, n_docs, n_tokens, deleted)
 
     width = bits(STEPS)
 

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.chunks import CHUNK_BYTES, ask, by_slab, chunk_table, decode, pack, pack_sorted, rows_of, slab_of, slab_ranges, unpack, unpack_sorted
+from quarry.llm.chunks import CHUNK_BYTES, REGIONS, answered, ask, chunk_table, decode, rows_of, slab_of
 from quarry.llm.words import WHITE, Words, blocks, distinct, mix, multipliers, separators, windows
 from quarry.session import materialize
 
@@ -71,89 +71,70 @@ class Chunk:
         return slab << np.uint64(32) | bits & np.uint64((1 << CELL_BITS) - 1)
 
     def sketch(self):
-        """(slab, n, cells, set twice): the non-zero cells of this chunk's sketch."""
+        """(slab, (cell, whether set twice)) of the non-zero cells of this chunk's sketch."""
         for row in range(DEPTH):
             code, count = np.unique(self.cells(row), return_counts=True)
-            for slab, a, b in runs(code):
-                yield slab, b - a, pack_sorted(code[a:b] & np.uint64(0xFFFFFFFF)), np.packbits(count[a:b] > 1).tobytes()
+            yield code >> np.uint64(32), (code & np.uint64(0xFFFFFFFF), (count > 1).astype(np.uint64))
 
-    def repeated(self, answers: dict[int, dict]) -> np.ndarray:
+    def repeated(self, estimated: np.ndarray) -> np.ndarray:
         """Windows (numbers) whose cells are estimated to be repeated in every row."""
-        left = np.arange(len(self.key))
+        left, at = np.arange(len(self.key)), 0
         for row in range(DEPTH):
             code = self.cells(row)
             cells = distinct(code)
-            flag = np.zeros(len(cells), bool)
-            for slab, a, b in runs(cells):
-                flag[a:b] = np.unpackbits(np.frombuffer(answers[slab]["bits"], np.uint8), count=b - a)
+            flag = estimated[at:at + len(cells)] > 0
+            at += len(cells)
             left = left[flag[np.searchsorted(cells, code[left])]]
         return left
 
-    def groups(self, answers: dict[int, dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def groups(self, estimated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The estimated repeats, sorted by key: (window, group of each, first of each
         group); the first of a group has its smallest document."""
-        w = self.repeated(answers)
+        w = self.repeated(estimated)
         w = w[np.lexsort((self.doc[w], self.key2[w], self.key[w]))]
         new = np.ones(len(w), bool)
         new[1:] = (self.key[w[1:]] != self.key[w[:-1]]) | (self.key2[w[1:]] != self.key2[w[:-1]])
         return w, np.cumsum(new) - 1, np.flatnonzero(new)
 
-    def exact(self, answers: dict[int, dict]):
-        """(slab, n, keys, second keys, smallest documents) of the estimated repeats."""
-        w, _, first = self.groups(answers)
+    def exact(self, estimated: np.ndarray):
+        """(slab, (key, second key, smallest document)) of the estimated repeats."""
+        w, _, first = self.groups(estimated)
         w = w[first]
-        for slab, a, b in slab_ranges(self.key[w], self.slabs):
-            part = w[a:b]
-            yield slab, b - a, pack_sorted(self.key[part] >> np.uint64(16)), self.key2[part].tobytes(), pack(self.doc[part].view(np.uint64))
+        yield slab_of(self.key[w], self.slabs), (self.key[w] >> np.uint64(16), self.key2[w], self.doc[w].view(np.uint64))
 
-    def removed(self, answers: dict[int, dict], earlier: dict[int, dict]) -> np.ndarray:
+    def removed(self, estimated: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         """Which words of the chunk are covered by a window that starts in a smaller document."""
-        w, group, first = self.groups(answers)
-        gone = np.zeros(len(first), bool)
-        for slab, a, b in slab_ranges(self.key[w[first]], self.slabs):
-            gone[a:b] = np.unpackbits(np.frombuffer(earlier[slab]["bits"], np.uint8), count=b - a)
+        w, group, first = self.groups(estimated)
+        gone = earlier > 0
         lost = w[gone[group] | (self.doc[w] > self.doc[w[first]][group])]
         begin = self.first[lost]
         change = np.bincount(begin, minlength=self.total + 1) - np.bincount(begin + self.window, minlength=self.total + 1)
         return np.cumsum(change)[:-1] > 0
 
 
-def runs(code: np.ndarray):
-    """(slab, begin, end) in a sorted array of slab and cell numbers."""
-    slab = code >> np.uint64(32)
-    cuts = np.flatnonzero(np.concatenate([[True], slab[1:] != slab[:-1]])) if len(slab) else np.zeros(0, int)
-    for a, b in zip(cuts, [*cuts[1:], len(slab)]):
-        yield int(slab[a]), int(a), int(b)
-
-
-def merge_sketches(slab: int, rows: list[tuple]):
-    """Add the chunks' cells; tell each chunk which of its cells hold two or more."""
+def merge_sketches(slab: int, arrays: list[np.ndarray]):
+    """Add the chunks' cells; tell which of them hold two or more."""
+    at, twice = arrays[0].astype(np.int64), arrays[1]
     cells = np.zeros(1 << CELL_BITS, np.uint8)
-    for _, n, packed, twice in rows:
-        at = unpack_sorted(packed, n).astype(np.int64)
-        cells[at] = np.minimum(2, cells[at] + 1 + np.unpackbits(np.frombuffer(twice, np.uint8), count=n))
-    for chunk, n, packed, _ in rows:
-        yield chunk, np.packbits(cells[unpack_sorted(packed, n).astype(np.int64)] > 1).tobytes()
+    cells[at[twice > 0]] = 2
+    order = np.sort(at)
+    cells[order[1:][order[1:] == order[:-1]]] = 2
+    return [cells[at] >> 1], []
 
 
-def merge_exact(slab: int, rows: list[tuple]):
+def merge_exact(slab: int, arrays: list[np.ndarray]):
     """Smallest document of every window; tell each chunk which of its windows start in a
     smaller document than any of its own."""
-    sizes = [r[1] for r in rows]
-    key = np.concatenate([unpack_sorted(r[2], r[1]) for r in rows])
-    key2 = np.concatenate([np.frombuffer(r[3], np.uint64) for r in rows])
-    doc = np.concatenate([unpack(r[4], r[1]).view(np.int64) for r in rows])
+    key, key2, doc = arrays[0], arrays[1], arrays[2].view(np.int64)
     order = np.lexsort((doc, key2, key))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(key[order]) != 0) | (np.diff(key2[order]) != 0)
     smallest = np.empty(len(order), np.int64)
     smallest[order] = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    earlier = smallest < doc
-    for (chunk, *_), a, n in zip(rows, np.cumsum([0, *sizes]), sizes):
-        yield chunk, np.packbits(earlier[a:a + n]).tobytes()
+    return [smallest < doc], []
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, slab_windows: int = SLAB_WINDOWS) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, slab_windows: int = SLAB_WINDOWS, regions: int = REGIONS) -> DataFrame:
     """(doc_id, n_words, n_removed, removed, kept): per document the words removed, as runs
     [first word, words], and the words kept, joined by one blank.  Ids are integers."""
     chunks = chunk_table(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")], chunk_bytes)
@@ -161,19 +142,16 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CH
     slabs = max(1, -(-size // (slab_windows * 6)))  # some six bytes of text to a word
     here = lambda row: Chunk(row["payload"], window, slabs)
 
-    sketched = ask(chunks, lambda row: here(row).sketch(), merge_sketches, "n long, cells binary, twice binary", "bits binary")
+    sketched = ask(chunks, lambda row: here(row).sketch(), merge_sketches, DEPTH * slabs, 2, 1, regions)
     sketched = materialize(sketched.withColumnRenamed("answers", "estimated"), "sketch-answers")
     told = chunks.join(sketched, "chunk", "left")
-    exact = ask(
-        told, lambda row: here(row).exact(by_slab(row["estimated"])), merge_exact,
-        "n long, key binary, key2 binary, doc binary", "bits binary",
-    ).withColumnRenamed("answers", "earlier")
+    exact = ask(told, lambda row: here(row).exact(answered(row["estimated"])), merge_exact, slabs, 3, 1, regions).withColumnRenamed("answers", "earlier")
 
     def finish(batches):
         for batch in batches:
             for row in rows_of(batch):
                 chunk = here(row)
-                gone = chunk.removed(by_slab(row["estimated"]), by_slab(row["earlier"]))
+                gone = chunk.removed(answered(row["estimated"]), answered(row["earlier"]))
                 n_removed, spans, kept, a = [], [], [], 0
                 for text, n in zip(chunk.texts, chunk.n_words):
                     mask = gone[a:a + n]

@@ -274,5 +274,5 @@ def test_pipeline_stages_equal_run(spark, tmp_path, docs):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and "*" in MIX_WEIGHTS

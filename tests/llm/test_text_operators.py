@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, language_model, line_dedup, mixing, simhash, substring_dedup
+from quarry.llm import chunks, decontaminate, language_model, line_dedup, mixing, simhash, substring_dedup
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 lower = lambda s: s.translate(str.maketrans(UP, LOW))
@@ -17,8 +17,41 @@ words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
 bag = lambda rows: Counter(map(tuple, rows))
 
 
-@pytest.mark.parametrize("window, chunk", [(13, 1 << 20), (3, 2000)])
-def test_substring_dedup(docs, rows, window, chunk):
+@pytest.mark.parametrize("docs_each", [20, 80])
+def test_rows_of_a_chunk_do_not_grow_with_the_corpus(spark, docs_each):
+    """Ten regions at most answer a chunk, however many slabs there are; every key gets the
+    sum over all chunks, and the numbers add up over the slabs."""
+    texts = [(i, " ".join(f"k{(i * 7 + j * j) % 97}" for j in range(40))) for i in range(docs_each)]
+    table = chunks.chunk_table(spark.createDataFrame(texts, "doc_id long, text string"), [F.col("doc_id"), F.col("text")], 300)
+    slabs = docs_each * 3
+
+    def keys(row):
+        found = Counter(w for t in chunks.decode(row["payload"]).column(1).to_pylist() for w in t.split())
+        made = sorted((xxhash.xxh64_intdigest(w), n) for w, n in found.items())
+        return np.array([k for k, _ in made], np.uint64), np.array([n for _, n in made], np.uint64)
+
+    def add(slab, arrays):
+        each, place = np.unique(arrays[0], return_inverse=True)
+        return [np.bincount(place, arrays[1].astype(float)).astype(np.uint64)[place]], [len(each)]
+
+    asked = chunks.ask(table, lambda row: [(chunks.slab_of(keys(row)[0], slabs), keys(row))], add, slabs, 2, 1, 10)
+    total = Counter(xxhash.xxh64_intdigest(w) for _, t in texts for w in t.split())
+    found = table.join(asked, "chunk").collect()
+    assert len(found) == table.count() > docs_each / 4
+    for r in found:
+        assert chunks.answered(r.answers).tolist() == [total[k] for k in keys(r)[0].tolist()] and len(r.answers) <= 10
+    assert sum(n for r in found for a in r.answers for n in a["sums"]) == len(total)
+
+
+def test_packed_integers():
+    top = np.iinfo(np.uint64).max
+    for values in ([], [0], [1, 0, 1], [top], [5, 5, 9, 1 << 40], [9, 5, top, 0], [0] * 9, range(1000)):
+        x = np.array(values, np.uint64)
+        assert chunks.unpack(chunks.pack(x), len(x)).tolist() == x.tolist()
+
+
+@pytest.mark.parametrize("window, chunk, regions", [(13, 1 << 20, 1 << 14), (3, 2000, 1 << 14), (3, 2000, 4), (13, 700, 1)])
+def test_substring_dedup(docs, rows, window, chunk, regions):
     first = {}
     key = lambda i: float("inf") if i is None else i
     for i, t in rows:
@@ -31,7 +64,7 @@ def test_substring_dedup(docs, rows, window, chunk):
         w = words(t)
         gone = {a + j for a in range(len(w) - window + 1) if first[tuple(w[a:a + window])] < key(i) for j in range(window)}
         want.append((i, len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
-    out = substring_dedup.substring_dedup(docs, window, chunk, slab_windows=500).select("doc_id", "n_words", "n_removed", "kept", "removed").collect()
+    out = substring_dedup.substring_dedup(docs, window, chunk, 500, regions).select("doc_id", "n_words", "n_removed", "kept", "removed").collect()
     assert bag(r[:4] for r in out) == bag(want)
     assert all(sum(n for _, n in r.removed) == r.n_removed for r in out)
 
@@ -166,10 +199,10 @@ def test_longest_matches(spark):
     assert [tuple(r) for r in decontaminate.longest_matches(docs, bench).collect()] == [(1, "9", 5, 2, 25)]
 
 
-@pytest.mark.parametrize("chunk", [1 << 20, 3000])
-def test_language_model(docs, rows, chunk):
+@pytest.mark.parametrize("chunk, regions", [(1 << 20, 1 << 14), (3000, 1 << 14), (3000, 5)])
+def test_language_model(docs, rows, chunk, regions):
     train = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
-    out = language_model.score(docs, train, chunk, slab_keys=300).collect()
+    out = language_model.score(docs, train, chunk, 300, regions).collect()
     tokens = [[*(w.decode() for w in (t or "").encode().translate(bytes.maketrans(UP.encode(), LOW.encode())).split()), None] for _, t in rows]
     on = [i is not None and zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in rows]
     c = Counter(w for t, o in zip(tokens, on) if o for w in t)
