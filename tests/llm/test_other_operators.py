@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -196,11 +197,73 @@ def test_pii_leaves_other_text_alone(replaced):
 def test_pii_surrogates_are_distinct(spark):
     """All one-digit addresses of a small set collide at first and end distinct."""
     ips = [("ip", f"{a}.{b}.{c}.{d}") for a in range(1, 7) for b in range(1, 7) for c in range(1, 7) for d in range(1, 7)]
-    got = pii.surrogates(spark.createDataFrame(ips, "kind string, norm string"), "k").collect()
+    got = pii.surrogates(spark.createDataFrame(ips, "kind string, norm string").withColumn("gender", F.lit("n")), "k").collect()
     assert len(got) == len(ips) == len({r.surrogate for r in got})
     assert not {r.surrogate for r in got} & {n for _, n in ips}
 
 
+LEAKS = [
+    "Mrs. Anna Roe wrote. Dr. Anna Roe left. Later Anna Roe met Roe; Anna's and Roe's bag, Roebuck and Joanna.", "Frau Smith-Jones, господин Петров, Петров и Mr. O'Brien",
+    "call 0170 1234567, card 3782 822463 10005, secret_key=abcdef0123456789 at 2001:db8::ff00:42:8329 or fe80::1", "host 10.0.0.1 and 192.168.7.20 at 12:30:45, std::a1 a::b", "Mr. Anna Roe " * 3000 + "end",
+]
+CLEAR = ["Anna ", " Roe;", "Roe's", "Smith", "Jones", "Петров", "Brien", "1234567", "10005", "abcdef0123456789", "8329", "fe80", "10.0.0.1", "192.168.7.20"]
+
+
+def test_pii_finds_what_was_left_in_clear(spark):
+    out = pii.replace_entities(spark.createDataFrame(list(enumerate(LEAKS)), "doc_id long, text string"), "k").collect()
+    texts = [r.replaced for r in sorted(out, key=lambda r: r.row.doc_id)]
+    assert not [c for c in CLEAR if any(c in t for t in texts)]
+    one = re.fullmatch(r"Mrs\. (\w+) (\w+) wrote\. Dr\. \1 \2 left\. Later \1 \2 met \2; \1's and \2's bag, Roebuck and Joanna\.", texts[0])
+    assert one and texts[4] == f"Mr. {one[1]} {one[2]} " * 3000 + "end"  # one person under all titles
+    assert re.fullmatch(r"Frau \w+-\w+, господин ([а-яА-Я]+), \1 и Mr\. \w+'\w+", texts[1])
+    card = re.search(r"call 0?\d{3,4} \d{7}, card (\d{4} \d{6} \d{5}), secret_key=[a-z0-9]{16} at [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4} or [0-9a-f]{4}::[0-9a-f]$", texts[2])
+    assert card and luhn(card[1])
+    assert re.fullmatch(r"host 10\.\d\.\d\.\d and 192\.168\.\d\.\d\d at 12:30:45, std::a1 a::b", texts[3])
+
+
+def test_pii_against_plain_segmentation(spark):
+    """Text between entities stays byte for byte, as a plain search tells them; every entity has
+    one surrogate and every surrogate one entity; another key gives others."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()] + LEAKS[1:4] + [t for _, t in PII]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, there, back = pii.replace_entities(frame, "a secret key").collect(), {}, {}
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = r.row.text
+        if text is None:
+            assert r.replaced is None
+            continue
+        names = [m[0].split(". ", 1)[-1].split(" ") for m in regex.finditer(pii.NAME, text)]
+        if names:  # names have a test of their own, as they are found twice
+            continue
+        at, spans = 0, [m.span() for m in regex.finditer(pii.ANY, text)]
+        assert r.n_replaced == len(spans)
+        rest = r.replaced
+        assert regex.sub(r"[0-9A-Za-z]", "x", text) == regex.sub(r"[0-9A-Za-z]", "x", rest) or any("." in text[a:b] for a, b in spans)
+        if len(rest) != len(text):
+            continue
+        for a, b in spans:
+            assert rest[at:a] == text[at:a]
+            norm = lambda x: re.sub("[^0-9a-z]", "", x.lower())
+            kind, old, new = next(k for k, p in pii.KINDS.items() if regex.fullmatch(p, text[a:b])), text[a:b], rest[a:b]
+            if kind != "secret":
+                assert there.setdefault((kind, norm(old)), norm(new)) == norm(new) != norm(old) or kind == "ip"
+                assert back.setdefault((kind, norm(new)), norm(old)) == norm(old) or kind == "ip"
+            at = b
+        assert rest[at:] == text[at:]
+    assert len(there) > 50
+    other = pii.replace_entities(frame, "another").collect()
+    assert {r.replaced for r in rows if r.n_replaced} != {r.replaced for r in other if r.n_replaced}
+
+
+def test_pii_key_is_in_no_plan(spark):
+    frame = spark.createDataFrame([("ip", "8.8.8.8", 0)], "kind string, norm string, attempt int")
+    made = {k: pii.with_numbers(frame, k) for k in ("a secret key", "another")}
+    assert "a secret key" not in made["a secret key"]._jdf.queryExecution().toString()
+    first, other = (f.collect()[0].numbers for f in made.values())
+    assert len(first) == 256 and first != other and first == pii.with_numbers(frame, "a secret key").collect()[0].numbers
+
+
 def test_pii_empty(empty):
     assert pii.replace_entities(empty, "k").count() == 0
 
