@@ -15,6 +15,7 @@ covers every document in one map without a shuffle.
 Defined cases
 * null and empty texts have no features and get the model's base score.
 * null doc_id: never in the training sample; scored as any other row.
+* repeated doc_id: at most one of its texts, that of the smallest hash, enters the sample.
 * repeated labels of one document: toxic if any says so; repeated documents are scored
   row by row.
 * no confirmed toxic example: nothing to learn, every score is the prior.
@@ -187,8 +188,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, max_p
 
     def texts(ids: DataFrame, most: int) -> list[bytes]:
         drawn = ids.select("doc_id").distinct().orderBy(draw, "doc_id").limit(most)  # ids alone meet on the driver
-        chosen = fit.join(drawn, "doc_id", "left_semi").select("text")
-        return [r.text.encode("utf-8", "surrogatepass") for r in chosen.toLocalIterator()][:most]
+        rows = fit.join(drawn, "doc_id", "left_semi")
+        one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+        return [r.text.encode("utf-8", "surrogatepass") for r in one.orderBy(draw, "doc_id").toLocalIterator()]
 
     positive = texts(fit.select("doc_id").join(marks.where("toxic = 1"), "doc_id", "left_semi"), max_positive)
     return positive, texts(fit, max_unlabelled), prior

@@ -304,6 +304,19 @@ def test_toxicity_hard_rows(spark, docs, empty):
     assert toxicity.held_out(F.lit(None).cast("long"), 5) is not None
 
 
+def test_sample_takes_one_text_of_an_id(spark):
+    """A hot id brings one text, and pushes no other document out of the sample."""
+    rows = [(7, f"copy {k}") for k in range(500)] + [(i, f"text {i}") for i in range(100, 120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(7, 1), (101, 1), (102, 0)], "doc_id long, toxic int")
+    positive, anything, prior = toxicity.training_sample(frame, labels, F.lit(True), 10, 30)
+    assert len(positive) == 2 and b"text 101" in positive and prior == 2 / 3
+    assert len(anything) == 21 and {f"text {i}".encode() for i in range(100, 120)} < set(anything)
+    assert len(toxicity.training_sample(frame, labels, F.lit(True), 1, 5)[1]) == 5
+    again = toxicity.training_sample(frame.repartition(2), labels, F.lit(True), 10, 30)
+    assert (positive, anything) == again[:2]
+
+
 def test_risk_is_never_negative_at_the_end():
     """With positives hidden among the unlabelled, the corrected estimator still separates."""
     good, bad = [b"alpha beta gamma delta"] * 80, [b"alpha beta vilest delta"] * 40
