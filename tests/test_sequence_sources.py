@@ -60,3 +60,16 @@ def test_headerless_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (2, None)], "item long, mark double")
     delimited.write_tsv(df, str(tmp_path / "x"), header=False)
     assert sorted(delimited.read_tsv(spark, str(tmp_path / "x"), "item long, mark double", header=False).collect()) == sorted(df.collect())
+
+
+def test_postings_are_compared_with_stored_rows(spark, tmp_path):
+    """The texts are tokenised once: neither the comparison nor the result reads them again."""
+    from quarry.plans.pages import postings_roundtrip, postings_text
+
+    rows = [(i, f"alpha beta{i % 3} gamma gamma") for i in range(9)] + [(9, None), (10, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    back, lines = postings_roundtrip(spark, str(tmp_path)), postings_text(spark, str(tmp_path))
+    for df in (back, lines):
+        assert f"{tmp_path}/documents" not in df._jdf.queryExecution().toString()
+    assert {(r.word, r.doc_id): r.tf for r in back.collect()}["gamma", 4] == 2 and back.count() == 27
+    assert lines.count() == 5
