@@ -132,6 +132,31 @@ def test_bowties_are_counted_without_a_list(spark, seed, n, p):
     assert sum(b for _, b in got.values()) == G.bowties(frame).count()
 
 
+@pytest.mark.parametrize("seed, n, p", [(1, 14, 0.4), (3, 10, 0.8)])
+def test_bowties_and_four_cycles_equal_brute_force(spark, seed, n, p):
+    edges = random_edges(seed, n, p)
+    frame, near = spark.createDataFrame(edges, "src long, dst long"), adjacency(edges)
+    want = []
+    for c, ns in near.items():
+        link = [(a, b) for a, b in itertools.combinations(sorted(ns), 2) if b in near[a]]
+        want += [(c, *x, *y) for x, y in itertools.combinations(link, 2) if len({*x, *y}) == 4 and not (near[x[0]] | near[x[1]]) & {*y}]
+    assert sorted(tuple(r) for r in G.bowties(frame).collect()) == sorted(want)
+    cycles = {tuple(sorted(c)) for c in plain_cycles(edges, 4) if len(c) == 4}
+    assert sorted(tuple(r) for r in G.cycles4(frame).collect()) == sorted(cycles)
+    assert sorted(tuple(r) for r in G.triangles(frame).collect()) == sorted(tuple(sorted(c)) for c in plain_cycles(edges, 3))
+
+
+def joins_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+
+def test_lists_join_edges_and_not_their_pairs(spark):
+    """Bow-ties need no join for each of four possible edges, wedges none for their ranks."""
+    edges, _ = frames(spark, "bowtie_chord")
+    assert joins_of(G.bowties(edges)) == 3
+    assert joins_of(G.cycles4(edges)) == 3
+
+
 def test_no_triangles_no_bowties(spark):
     edges, _ = frames(spark, "two_squares")
     assert G.bowtie_counts(edges).count() == 0
