@@ -1,0 +1,43 @@
+"""Rows for the models are made once, stored, and lie in parts of equal size."""
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from quarry import session
+from quarry.plans import ml
+
+
+def tables(spark, folder, n=400):
+    orders = [(i, 1000.0 + 7 * (i % 90), datetime.date(1995, 1, 1 + i % 28), "OFP"[i % 3], f"{i % 5}-LEVEL") for i in range(n)]
+    lines = [(i, 100_000.0 + 1000 * (i % 90) + j, 0.05, 0.02, 1.0 + j) for i in range(n) for j in range(1 + i % 4)]
+    spark.createDataFrame(orders, "o_orderkey long, o_totalprice double, o_orderdate date, o_orderstatus string, o_orderpriority string").coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_extendedprice double, l_discount double, l_tax double, l_quantity double").coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_even_parts(spark):
+    few, many = spark.range(2 * session.PART_ROWS - 1), spark.range(0, 7 * session.PART_ROWS, 1, 1)
+    assert session.even_parts(few, "id", 2 * session.PART_ROWS - 1) is few
+    parts = session.even_parts(many, "id", 7 * session.PART_ROWS)
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) < session.PART_ROWS / 10  # four cores: 4 parts, not 7
+    assert all(p == sorted(p) for p in parts.rdd.map(lambda r: r.id).glom().collect())
+    assert session.even_parts(many, "id", 3 * session.PART_ROWS).rdd.getNumPartitions() == 3
+    assert session.even_parts(many, "id", 999 * session.PART_ROWS).rdd.getNumPartitions() == 16
+
+
+def test_stored_features_lie_in_a_part_for_each_core(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "PART_ROWS", 64, raising=False)
+    d = tables(spark, tmp_path)
+    feats, width = ml._stored_features(spark, d)
+    sizes = [r["count"] for r in feats.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 400 and max(sizes) < 150 and width > 5
+    wanted = {(r.o_orderkey, r.label, r.split) for r in ml.order_features(ml.Tables(spark, d)).collect()}
+    assert {(r.o_orderkey, r.label, r.split) for r in feats.collect()} == wanted
+
+
+def test_sides_are_read_from_stored_rows(spark, tmp_path):
+    """No stage of the feature pipeline and no fit groups the line items again."""
+    for side in ml._train_test(spark, tables(spark, tmp_path)):
+        assert side.count() and "Aggregate" not in side._jdf.queryExecution().toString()
